@@ -12,21 +12,62 @@ from pyspark.sql import functions as F
 
 NESTED_LOOP_RULES = 64
 _BROADCAST_BYTES = 1 << 20
-_GRAM = 3
+_LONGEST_PIECE = 3
 _SPREAD = 32
 
 
 def is_short(rules: DataFrame, pattern: str, limit: int) -> bool:
     """Whether the rules are few and small enough to broadcast.
 
-    Reads ``limit`` + 1 rows at most, and returns one row to the driver.
+    Reads ``limit`` + 1 rows at most and brings their lengths, not the rules, to the driver.
     """
-    size = (
-        rules.limit(limit + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(pattern)).alias("bytes"))
-        .first()
+    lengths = rules.select(F.coalesce(F.octet_length(pattern), F.lit(0))).take(limit + 1)
+    return len(lengths) <= limit and sum(length for (length,) in lengths) <= _BROADCAST_BYTES
+
+
+# A wildcard that no escape stands before, or an even number of backslashes.
+_FREE = r"(?<!\\)((?:\\\\)*)"
+
+
+def _with_tests(rules: DataFrame) -> DataFrame:
+    """Add what is cheap to test in place of LIKE.
+
+    Spark compiles a LIKE pattern from a column anew for every pair, after quoting each
+    of its characters; that costs some hundred times as much as comparing text.
+
+    ``_head`` and ``_tail`` are the literal text before the first and after the last
+    wildcard, ``_least`` the shortest text that fits. ``_decided`` marks the patterns
+    for which these are the whole answer: one ``%``, or ``%middle%``. For the others
+    ``_regex`` says the same as the pattern and is compiled without the quoting.
+    """
+    pattern = F.col("table_pattern")
+    parts = F.split(pattern, "%")
+    plain = ~F.contains(pattern, F.lit("_")) & ~F.contains(pattern, F.lit("\\"))
+    around = plain & (F.size(parts) == 3) & pattern.startswith("%") & pattern.endswith("%")
+    escaped = F.regexp_replace(pattern, r"([.\[\]{}()*+?^$|])", r"\\$1")
+    regex = F.regexp_replace(F.regexp_replace(escaped, _FREE + "%", "$1.*"), _FREE + "_", "$1.")
+    return rules.withColumns(
+        {
+            "_head": F.regexp_extract(pattern, r"^[^%_\\]*", 0),
+            # A tail starts behind a wildcard or behind an escaped character.
+            "_tail": F.regexp_extract(pattern, r"(?:^|[%_]|\\.)([^%_\\]*)$", 1),
+            "_least": F.length(F.regexp_replace(F.regexp_replace(pattern, r"\\(.)", "x"), "%", "")),
+            "_middle": F.when(around, F.get(parts, F.lit(1))),
+            "_decided": around | (plain & (F.size(parts) == 2)),
+            "_regex": F.concat(F.lit(r"(?s)\A"), regex, F.lit(r"\z")),
+        }
+    )
+
+
+def _fits(name: Column) -> Column:
+    """Whether a name fits a pattern. Cheap tests first; each stops the ones after it."""
+    return (
+        (F.length(name) >= F.col("_least"))
+        & name.startswith(F.col("_head"))
+        & name.endswith(F.col("_tail"))
+        & F.when(F.col("_middle").isNotNull(), F.contains(name, F.col("_middle"))).otherwise(F.lit(True))
+        & (F.col("_decided") | F.rlike(name, F.col("_regex")))
     )
-    return size["n"] <= limit and (size["bytes"] or 0) <= _BROADCAST_BYTES
 
 
 def match_thresholds(
@@ -40,92 +81,117 @@ def match_thresholds(
     rules = thresholds.select("table_pattern", "latency_threshold").filter(
         F.col("table_pattern").isNotNull() & F.col("latency_threshold").isNotNull()
     )
+    named = tables.withColumn("_name", F.lower("table_name"))
     if is_short(rules, "table_pattern", nested_loop_rules):
-        fits = F.like(F.lower("table_name"), F.col("table_pattern"))
-        return tables.join(F.broadcast(rules), fits, "left")
-    return _match_by_gram(tables, rules)
+        tested = F.broadcast(_with_tests(rules))
+        matched = named.join(tested, _fits(F.col("_name")), "left")
+    else:
+        matched = _match_by_piece(named, rules)
+    return matched.select(*tables.columns, "table_pattern", "latency_threshold")
 
 
-def _grams(text: Column, size: int) -> Column:
-    """All substrings of one size, none if the text is shorter."""
-    return F.when(
-        F.length(text) >= size,
-        F.transform(
-            F.sequence(F.lit(1), F.length(text) - size + 1), lambda at: F.substr(text, at, F.lit(size))
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+def _pieces(text: Column, first: Column) -> Column:
+    """All substrings of a text up to the longest size, numbered by place from ``first``.
+
+    ``first`` 0 leaves the place out: then all have place 0.
+    """
+    def of_size(size: int) -> Column:
+        last = F.length(text) - size + 1
+        return F.when(
+            last >= 1,
+            F.transform(
+                F.sequence(F.lit(1), last),
+                lambda at: F.struct((at * first).alias("at"), F.substr(text, at, F.lit(size)).alias("piece")),
+            ),
+        ).otherwise(F.array().cast("array<struct<at:int,piece:string>>"))
+
+    return F.concat(*(of_size(size) for size in range(1, _LONGEST_PIECE + 1)))
 
 
 def _with_anchor(rules: DataFrame) -> DataFrame:
-    """Add to each pattern the piece of literal text that the fewest patterns share.
+    """Add to each pattern a piece of its literal text, the one that fewest patterns share.
 
-    A name can only fit a pattern whose literal pieces it contains, so equality on
-    one piece finds every candidate. Three characters where the pattern has a run
-    that long, otherwise its longest run, otherwise nothing at all. Taking the
-    rarest piece keeps apart patterns that begin alike.
+    A name can only fit a pattern whose literal text it contains, so equality on one
+    piece finds every candidate. Up to the first ``%`` the place of a piece is known as
+    well, and is part of the key; later pieces have place 0. Taking the piece fewest
+    patterns share keeps apart patterns that look alike. A pattern of wildcards only
+    has the empty piece.
     """
-    runs = F.filter(F.split("table_pattern", r"\\.|[%_]"), lambda run: run != "")
-    pieces = F.flatten(
-        F.transform(
-            runs,
-            lambda run: F.when(F.length(run) >= _GRAM, _grams(run, _GRAM)).otherwise(F.array(run)),
-        )
+    pattern = F.col("table_pattern")
+    fixed = F.regexp_extract(pattern, r"^[^%\\]*", 0)
+    runs = F.split(F.substr(pattern, F.length(fixed) + 1), r"\\.|[%_]")
+    loose = F.flatten(F.transform(runs, lambda run: _pieces(run, F.lit(0))))
+    literal = F.filter(
+        F.concat(_pieces(fixed, F.lit(1)), loose), lambda p: ~F.contains(p["piece"], F.lit("_"))
     )
-    piece = (
+    nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("piece"))
+    pieces = (
         rules.select("table_pattern")
         .distinct()
-        .select("table_pattern", F.explode_outer(F.array_distinct(pieces)).alias("piece"))
-        .select("table_pattern", F.coalesce("piece", F.lit("")).alias("piece"))
+        .select("table_pattern", F.explode_outer(F.array_distinct(literal)).alias("key"))
+        .select("table_pattern", F.coalesce("key", nothing).alias("key"))
+        .select("table_pattern", "key.at", "key.piece")
+    )
+    shared = pieces.groupBy("at", "piece").agg(F.count(F.lit(1)).alias("shared"))
+    rarest = F.min(
+        F.struct("shared", (-F.length("piece")).alias("short"), (-F.col("at")).alias("back"), "piece")
     )
-    shared = piece.groupBy("piece").agg(F.count(F.lit(1)).alias("shared"))
-    best = F.min(F.struct(-F.length("piece"), "shared", "piece"))
     anchors = (
-        piece.join(shared, "piece")
+        pieces.join(shared, ["at", "piece"])
         .groupBy("table_pattern")
-        .agg(best["piece"].alias("anchor"))
+        .agg(rarest.alias("rarest"))
+        .select("table_pattern", (-F.col("rarest.back")).alias("at"), "rarest.piece")
     )
     return rules.join(anchors, "table_pattern")
 
 
-def _match_by_gram(tables: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same left join for a long rule list: equality on a piece of text, then LIKE."""
-    anchored = _with_anchor(rules)
-    name = F.lower("table_name")
-    sizes = anchored.agg(F.collect_set(F.length("anchor"))).scalar()
-    pieces = [
-        F.when(F.array_contains(sizes, size), _grams(name, size)).otherwise(
-            F.array().cast("array<string>")
-        )
-        for size in range(1, _GRAM + 1)
-    ]
-    # The empty piece meets patterns made of wildcards only, and is the row that
-    # stays when nothing fits. Every table has it, so it is spread over many keys.
+def _match_by_piece(named: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same left join for a long rule list: equality on a piece of text, then LIKE.
+
+    Spark joins on that equality as it does on any key: it broadcasts the rules if
+    they turn out small and shuffles both sides if not.
+    """
+    name = F.col("_name")
+    anchored = _with_tests(_with_anchor(rules))
+    # Only the kinds of pieces that some rule is keyed by.
+    kinds = anchored.filter(F.col("piece") != "").agg(
+        F.collect_set(F.struct((F.col("at") > 0).alias("placed"), F.length("piece").alias("size")))
+    )
+    # One row per kind and place, then plain substrings: all of it in generated code.
+    # Row 0 has the empty piece. It meets patterns made of wildcards only, and is the row
+    # that stays when nothing fits; every table has it, so it is spread over many keys.
+    row, kind, piece = F.col("_row"), F.col("_kind"), F.col("_piece")
+    places = F.greatest(F.length(name), F.lit(1))
+    place = F.when(row == 0, F.lit(0)).otherwise(F.pmod(row - 1, places) + 1)
     spread = F.pmod(F.xxhash64("table_schema", "table_name"), F.lit(_SPREAD)).cast("int")
-    named = tables.select(
-        "*",
-        F.explode(F.array_distinct(F.concat(F.array(F.lit("")), *pieces))).alias("_piece"),
-    ).withColumn("_spread", F.when(F.col("_piece") == "", spread).otherwise(F.lit(0)))
-    keyed = anchored.withColumn(
-        "_key",
-        F.explode(
-            F.when(F.col("anchor") == "", F.sequence(F.lit(0), F.lit(_SPREAD - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+    left = (
+        named.withColumn("_kinds", kinds.scalar())
+        .withColumn("_row", F.explode(F.sequence(F.lit(0), F.size("_kinds") * F.length(name))))
+        .withColumn("_place", place)
+        .withColumn("_kind", F.get("_kinds", F.floor((row - 1) / places).cast("int")))
+        .withColumn("_piece", F.when(row == 0, "").otherwise(F.substr(name, F.col("_place"), kind["size"])))
+        .filter(
+            (row == 0)
+            # A piece that runs over the end is none; one without a place counts once.
+            | (F.length(piece) == kind["size"])
+            & (kind["placed"] | (F.instr(name, piece) == F.col("_place")))
+        )
+        .withColumn("_at", F.when((row > 0) & kind["placed"], F.col("_place")).otherwise(F.lit(0)))
+        .withColumn("_part", F.when(row == 0, spread).otherwise(F.lit(0)))
+        .drop("_kinds", "_kind", "_row", "_place")
     )
-    fits = (
-        (F.col("_piece") == F.col("anchor"))
-        & (F.col("_spread") == F.col("_key"))
-        & F.like(name, F.col("table_pattern"))
+    copies = F.when(F.col("piece") == "", F.sequence(F.lit(0), F.lit(_SPREAD - 1)))
+    right = anchored.withColumn("part", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    same_key = (
+        (F.col("_piece") == F.col("piece")) & (F.col("_at") == F.col("at")) & (F.col("_part") == F.col("part"))
     )
     matched = F.col("table_pattern").isNotNull()
     table = Window.partitionBy("table_schema", "table_name")
     return (
-        named.join(keyed, fits, "left")
+        left.join(right, same_key & _fits(name), "left")
         .filter(matched | (F.col("_piece") == ""))
         .withColumn("_any", F.max(matched).over(table))
         .filter(matched | ~F.col("_any"))
-        .select(*tables.columns, "table_pattern", "latency_threshold")
     )
 
 

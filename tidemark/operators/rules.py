@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,14 @@ NOT_A_STRING = "not_a_string"
 NO_CHANNEL = "no_channel"
 BAD_REGEX = "bad_regex"
 
+_RULE = pa.schema(
+    [
+        ("rule_no", pa.int32()),
+        ("pattern", pa.string()),
+        ("channels", pa.list_(pa.string())),
+        ("is_default", pa.bool_()),
+    ]
+)
 _PROBLEMS = "array<struct<rule_no:int,pattern:string,problem:string>>"
 
 
@@ -57,50 +66,53 @@ def _parsed(configs: DataFrame, text_column: str) -> DataFrame:
     digest = F.md5(text.cast("binary"))
     wrapped = F.concat(F.lit("["), text, F.lit(',{"'), digest, F.lit('":0}]'))
     strict = {"allowSingleQuotes": "false"}
-    objects = F.from_json(wrapped, "array<map<string,variant>>", strict)
-    anything = F.from_json(wrapped, "array<variant>", strict)
+    objects = F.col("_objects")
     whole = (F.size(objects) == 2) & F.map_contains_key(F.try_element_at(objects, F.lit(2)), digest)
 
-    entries = F.map_entries(F.when(whole, F.try_element_at(objects, F.lit(1))))
-    keys = F.transform(entries, lambda entry: entry["key"])
-    first_places = F.filter(
-        F.transform(keys, lambda key, at: F.struct(key.alias("key"), at.alias("at"))),
-        lambda each: F.array_position(keys, each["key"]) == each["at"] + 1,
+    # One column per step: each is computed once per row, and the lambdas of the next
+    # step only look it up.
+    entries, keys = F.col("_entries"), F.col("_keys")
+    steps = configs.withColumn("_objects", F.from_json(wrapped, "array<map<string,variant>>", strict))
+    steps = steps.withColumn(
+        "_entries", F.map_entries(F.when(whole, F.try_element_at(objects, F.lit(1))))
+    )
+    steps = steps.withColumn("_keys", F.transform(entries, lambda entry: entry["key"]))
+    numbered = F.transform(entries, lambda entry, at: F.struct(entry["key"].alias("key"), at.alias("at")))
+    steps = steps.withColumn(
+        "_places",
+        F.filter(numbered, lambda each: F.array_position(keys, each["key"]) == each["at"] + 1),
     )
 
-    def rule(place: Column, at: Column) -> Column:
-        value = F.element_at(
-            F.filter(entries, lambda entry: entry["key"] == place["key"]), -1
-        )["value"]
+    def value_of(place: Column, at: Column) -> Column:
+        value = F.element_at(F.filter(entries, lambda entry: entry["key"] == place["key"]), -1)["value"]
         is_default = place["key"] == DEFAULT_RULE
-        pattern = F.when(~is_default, strip(place["key"]))
-        kind = F.schema_of_variant(value)
-        channels = F.when(kind == "STRING", split_channels(F.try_variant_get(value, "$", "string")))
         return F.struct(
             (at + 1).alias("rule_no"),
-            pattern.alias("pattern"),
-            channels.alias("channels"),
+            F.when(~is_default, strip(place["key"])).alias("pattern"),
             is_default.alias("is_default"),
-            _problem(is_default, pattern, kind, channels).alias("problem"),
+            F.schema_of_variant(value).alias("kind"),
+            split_channels(F.try_variant_get(value, "$", "string")).alias("channels"),
         )
 
-    return (
-        configs.withColumn("_entries", entries)
-        .withColumn("_rules", F.transform(first_places, rule))
-        .withColumn(
-            "_problem",
-            F.when(text.isNull() | (strip(text) == ""), F.lit(EMPTY_TEXT))
-            .when(
-                F.col("_entries").isNull(),
-                F.when(F.size(anything) == 2, F.lit(NOT_AN_OBJECT)).otherwise(F.lit(BAD_JSON)),
-            )
-            .when(
-                ~F.exists("_rules", lambda r: r["is_default"]),
-                F.lit(NO_DEFAULT),
-            ),
+    def rule(found: Column) -> Column:
+        is_text = found["kind"] == "STRING"
+        return F.struct(
+            found["rule_no"].alias("rule_no"),
+            found["pattern"].alias("pattern"),
+            F.when(is_text, found["channels"]).alias("channels"),
+            found["is_default"].alias("is_default"),
+            _problem(found["is_default"], found["pattern"], found["kind"], found["channels"]).alias("problem"),
         )
-        .drop("_entries")
+
+    steps = steps.withColumn("_found", F.transform("_places", value_of))
+    steps = steps.withColumn("_rules", F.transform("_found", rule))
+    is_json = F.size(F.from_json(wrapped, "array<variant>", strict)) == 2
+    problem = (
+        F.when(text.isNull() | (strip(text) == ""), F.lit(EMPTY_TEXT))
+        .when(entries.isNull(), F.when(is_json, F.lit(NOT_AN_OBJECT)).otherwise(F.lit(BAD_JSON)))
+        .when(~F.exists("_rules", lambda r: r["is_default"]), F.lit(NO_DEFAULT))
     )
+    return steps.withColumn("_problem", problem).select(*configs.columns, "_rules", "_problem")
 
 
 def _is_sound() -> Column:
@@ -110,12 +122,9 @@ def _is_sound() -> Column:
 def parse_rules(configs: DataFrame, text_column: str = "config") -> DataFrame:
     """The rules of every sound config: number, pattern, channels, whether the default."""
     kept = [column for column in configs.columns if column != text_column]
-    return (
-        _parsed(configs, text_column)
-        .filter(_is_sound())
-        .select(*kept, F.inline("_rules"))
-        .drop("problem")
-    )
+    # Not a filter: Spark would evaluate the rules once more below it.
+    sound = F.when(_is_sound(), F.col("_rules"))
+    return _parsed(configs, text_column).select(*kept, F.inline(sound)).drop("problem")
 
 
 def check_rules(configs: DataFrame, text_column: str = "config") -> DataFrame:
@@ -149,28 +158,32 @@ def failure_channels(
     )
 
 
-def _check_regex(spark: SparkSession, pattern: str) -> None:
-    """Raise if the pattern is no regular expression, to Python or to Spark."""
+def _check_patterns(rules: DataFrame, patterns: list[str]) -> None:
+    """Raise if a pattern is no regular expression, to Python or to Spark."""
     try:
-        re.compile(pattern)
-        spark.range(1).select(F.rlike(F.lit(""), F.lit(pattern))).collect()
+        for pattern in patterns:
+            re.compile(pattern)
+        rules.select(F.rlike(F.lit(""), F.col("pattern"))).collect()
     except (re.error, PySparkException) as error:
-        raise ValueError(f"{BAD_REGEX}: {pattern!r}: {error}") from error
+        raise ValueError(f"{BAD_REGEX}: {error}") from error
 
 
 def rules_from_json(spark: SparkSession, text: str) -> DataFrame:
     """The rules of one config text. Raises ValueError naming the first problem.
 
-    The text is held by the driver already, and so are its problems and patterns.
+    The driver holds the text already, so it may hold the rules in it as well.
     """
-    configs = spark.createDataFrame([(text,)], "config string")
-    # The text as a whole first, then the default, then the others in order.
-    order = [F.col("rule_no").isNotNull(), F.col("pattern").isNotNull(), F.col("rule_no")]
-    problem = check_rules(configs).orderBy(*order).first()
-    if problem is not None:
-        where = f" in rule {problem['rule_no']}" if problem["rule_no"] else ""
-        raise ValueError(f"{problem['problem']}{where}")
-    rules = parse_rules(configs)
-    for row in rules.filter(~F.col("is_default")).select("pattern").collect():
-        _check_regex(spark, row["pattern"])
+    config = spark.range(1).select(F.lit(text).alias("config"))
+    parsed = _parsed(config, "config").first()
+    if parsed["_problem"]:
+        raise ValueError(parsed["_problem"])
+    for rule in sorted(parsed["_rules"], key=lambda r: not r["is_default"]):
+        if rule["problem"]:
+            raise ValueError(f"{rule['problem']} in rule {rule['rule_no']}")
+    rules = spark.createDataFrame(
+        pa.Table.from_pylist(
+            [{name: rule[name] for name in _RULE.names} for rule in parsed["_rules"]], schema=_RULE
+        )
+    )
+    _check_patterns(rules, [r["pattern"] for r in parsed["_rules"] if not r["is_default"]])
     return rules

@@ -12,6 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.presets import MONITORED
 
+# Declared, so that no job runs to read a schema from file footers.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
 AS_OF = "2024-01-31 00:00:00"
 LINEITEM_AS_OF = "2001-12-31 00:00:00"
 ROUTING = (
@@ -178,10 +193,15 @@ OPTIONS = (
 )
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def relation(spark: SparkSession, sf_dir: str, definition: tuple[str, ...]) -> DataFrame:
     """A relation in Spark."""
-    table, _, condition = definition[0].partition(" WHERE ")
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    name, _, condition = definition[0].partition(" WHERE ")
+    df = table(spark, sf_dir, name)
     if definition is JOB_STATS:
         df = df.selectExpr("*", JOB_ENDED["spark"])
     return (df.filter(condition) if condition else df).selectExpr(*definition[1:])

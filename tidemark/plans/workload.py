@@ -343,7 +343,7 @@ def union_sources(spark, sf_dir):
     "LIKE '%\"latency_check_ignore\", \"true\"%'"
 )
 def opt_out_datasets(spark, sf_dir):
-    options = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    options = fx.table(spark, sf_dir, "part").select(
         F.concat(F.lit("set_"), "p_brand").alias("schema_name"),
         F.when(F.col("p_size") % 3 == 0, "labels").otherwise("description").alias("option_name"),
         F.concat(
@@ -407,7 +407,7 @@ _SPECIAL = [
     f"WHERE {_in_scope(P.MONITORED)}"
 )
 def scope_filter(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_SPECIAL)
+    rows = fx.table(spark, sf_dir, "events").selectExpr(*_SPECIAL)
     return td.scope_filter(rows).select("event_id", "source_project_id", "table_schema", "table_name")
 
 
@@ -521,7 +521,7 @@ def latest_job_stats(spark, sf_dir):
     "(PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"
 )
 def latest_order_per_customer(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = fx.table(spark, sf_dir, "orders")
     latest = td.latest_per_key(orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
     return latest.select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
 
@@ -780,7 +780,7 @@ def error_classes(spark, sf_dir):
     f"SELECT doc_id, {_error_columns('text', 'text')}, length(left(text, 500)) AS shown FROM documents"
 )
 def error_classes_of_documents(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    documents = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
     return td.classify_errors(documents, "text").select(
         "doc_id", "is_transient", "error_class", F.length("short_message").cast("bigint").alias("shown")
     )
