@@ -1,0 +1,85 @@
+"""Report files and widths."""
+
+import json
+from datetime import datetime
+from pathlib import Path
+
+import tidemark as td
+
+NEVER_SEEN = "No latency violations found - all tables are up to date! ✅"
+
+
+def test_times_and_arrays(spark, conf):
+    conf(spark__sql__session__timeZone="Asia/Tokyo")
+    df = spark.sql(
+        "SELECT timestamp_micros(1706659200000000) AS i, TIMESTAMP_NTZ '2024-01-31 01:02:03.5' AS w, "
+        "CAST(NULL AS TIMESTAMP) AS n, array('a', 'b') AS l, 3 AS c"
+    )
+    assert tuple(td.export_rows(df).first()) == (
+        "2024-01-31T00:00:00+00:00", "2024-01-31T01:02:03.500000", None, ["a", "b"], 3,
+    )
+    assert td.export_rows(df, arrays_as_text=True).first().l == '["a","b"]'
+
+
+def test_column_widths(spark):
+    df = spark.createDataFrame(
+        [("x" * 10, 7, ["a", "bc"], datetime(2024, 1, 1)), ("y" * 90, None, [], None)],
+        "a_name string, n int, listed array<string>, at timestamp_ntz",
+    )
+    found = {r.column_name: r.width for r in td.column_widths(df).collect()}
+    # longest text 90 is capped; a header can be the longest; ['a', 'bc'] has 11 characters
+    assert found == {"a_name": 50, "n": 3, "listed": 13, "at": 21}
+    assert {r.width for r in td.column_widths(df.limit(0).select("a_name")).collect()} == {8}
+
+
+def test_empty_report(spark):
+    some = spark.range(3)
+    assert td.empty_report(some).isEmpty()
+    assert [r.message for r in td.empty_report(some.limit(0)).collect()] == [NEVER_SEEN]
+
+
+def test_one_folder_per_route(spark, tmp_path):
+    rules = td.rules_from_json(spark, '{"a": "C1,C2", "default": "C0"}')
+    records = spark.createDataFrame([("a", ["p", "q"]), ("b", ["p"])], "table_schema string, l array<string>")
+    routed = td.route(records, rules)
+    for file_format in ("parquet", "json", "csv"):
+        path = str(tmp_path / file_format)
+        td.write_report(routed, path, file_format)
+        td.write_report(routed, path, file_format)
+        folders = {p.name for p in Path(path).glob("route=*")}
+        assert len(folders) == 2
+        back = spark.read.option("header", True).format(file_format).load(path)
+        assert sorted((r.table_schema, r.route) for r in back.collect()) == [
+            ("a", "default:C0"), ("a", "match:C1,C2"), ("b", "default:C0"),
+        ]
+        if file_format == "csv":
+            assert sorted(json.loads(r.l) for r in back.filter("is_default = 'true'").collect()) == [["p"], ["p", "q"]]
+
+
+def test_message_file_when_nothing_is_stale(spark, tmp_path):
+    routed = spark.createDataFrame([], "route string, table_schema string")
+    td.write_report_or_message(routed, str(tmp_path / "r"))
+    assert spark.read.parquet(str(tmp_path / "r")).first().message == NEVER_SEEN
+
+
+def test_error_classes(spark):
+    rows = [
+        (1, "ValueError", "BigQuery said no", None),
+        (2, "SLACKError", "channel missing", ""),
+        (3, "ValueError", "slack after bigquery", "own_task"),
+        (4, "TimeoutError", "x" * 600, None),
+        (5, "ValueError", "code 429 from Slack", None),
+        (6, "ValueError", "all is well", None),
+        (7, "ValueError", "unavailable: RETRY later", None),
+    ]
+    df = spark.createDataFrame(rows, "id int, kind string, message string, task string")
+    found = {r.id: r for r in td.classify_errors(df, "message", "kind", "task").collect()}
+    assert [i for i, r in found.items() if r.is_transient] == [4, 5, 7]
+    assert {i: r.error_class for i, r in found.items()} == {
+        1: "bigquery_failure", 2: "dag_failure", 3: "bigquery_failure", 4: "dag_failure",
+        5: "slack_failure", 6: "dag_failure", 7: "dag_failure",
+    }
+    assert [found[i].failed_task for i in (1, 2, 3, 5)] == [
+        "run_latency_check", "unknown", "own_task", "convert_and_send_to_slack",
+    ]
+    assert len(found[4].short_message) == 500

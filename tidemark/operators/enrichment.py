@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import local_time, second_text, utc_from_millis
+from tidemark.operators.joins import spread_left_join
 from tidemark.operators.latest import latest_per_key
 from tidemark.presets import (
     ACTIVE_STATUS,
@@ -66,6 +67,10 @@ def latest_job_stats(
     )
 
 
+def _left_join(left: DataFrame, right: DataFrame, keys: list[str], spread: bool) -> DataFrame:
+    return spread_left_join(left, right, keys) if spread else left.join(right, keys, "left")
+
+
 def enrichment(
     source_tables: DataFrame,
     sources: DataFrame,
@@ -75,6 +80,7 @@ def enrichment(
     runtime: str = RUNTIME_COLUMN,
     tiebreak: Sequence[str] = (),
     only_for: DataFrame | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Job facts by table name, from the three histories.
 
@@ -82,6 +88,9 @@ def enrichment(
     that numbers a table alike; ``strict_key`` joins on the source as well.
     ``only_for`` holds a ``table_name`` column: other tables are dropped before the
     job results multiply them. Results for the names it holds do not change.
+
+    ``spread`` is for a ``tableid`` that very many job results share, see
+    ``spread_left_join``; then ``tiebreak`` should leave no ties.
     """
     tables = latest_source_tables(source_tables, runtime, tiebreak)
     named = latest_sources(sources, runtime, tiebreak).select(
@@ -100,7 +109,7 @@ def enrichment(
     if only_for is not None:
         described = described.join(only_for.select("table_name"), "table_name", "left_semi")
     facts = ["lasterrorcode", "lasterror", "last_job_end_time"]
-    return described.join(stats.select(*key, *facts), key, "left").select(
+    return _left_join(described, stats.select(*key, *facts), key, spread).select(
         "companyid", "platform", "source_status", *facts, "table_name"
     )
 
@@ -110,11 +119,14 @@ def report_order() -> list[Column]:
     return [F.desc("hours_since_last_update"), F.asc("table_schema"), F.asc("table_name")]
 
 
-def report(stale: DataFrame, facts: DataFrame) -> DataFrame:
-    """The report: each stale table with the job facts of every table of that name."""
+def report(stale: DataFrame, facts: DataFrame, spread: bool = False) -> DataFrame:
+    """The report: each stale table with the job facts of every table of that name.
+
+    ``spread`` is for a name that very many facts share; ``facts`` is then read twice.
+    """
     facts = facts.filter(F.col("table_name").isNotNull()).drop("companyid")
     return (
-        stale.join(facts, "table_name", "left")
+        _left_join(stale, facts, ["table_name"], spread)
         .select(
             "table_schema",
             "table_name",

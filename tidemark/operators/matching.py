@@ -200,9 +200,9 @@ def match_regex(
 ) -> DataFrame:
     """Ids joined to the rules whose regular expression is found in them.
 
-    A regular expression has no key to join on. A long rule list is therefore cut
-    into blocks of at most ``nested_loop_rules`` or so rules, and the ids are copied
-    to each block: tasks share the work and no side is broadcast.
+    A regular expression has no key to join on. A long rule list is therefore cut into
+    blocks of about ``nested_loop_rules`` rules and the ids into parts; each block meets
+    each part in a task of its own, and no side is broadcast.
     """
     found = F.rlike(F.col(id_column), F.col("pattern"))
     if is_short(rules, "pattern", nested_loop_rules):
@@ -210,6 +210,11 @@ def match_regex(
     blocks = rules.agg(
         F.ceil(F.count(F.lit(1)) / nested_loop_rules).cast("int").alias("n")
     ).scalar()
-    blocked = rules.withColumn("_block", F.pmod(F.xxhash64("rule_no", "pattern"), blocks).cast("int"))
-    copied = ids.withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return copied.join(blocked, "_block").filter(found).drop("_block")
+    all_parts = F.sequence(F.lit(0), F.lit(_SPREAD - 1))
+    blocked = rules.withColumn(
+        "_block", F.pmod(F.xxhash64("rule_no", "pattern"), blocks).cast("int")
+    ).withColumn("_part", F.explode(all_parts))
+    copied = ids.withColumn(
+        "_part", F.pmod(F.xxhash64(id_column), F.lit(_SPREAD)).cast("int")
+    ).withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return copied.join(blocked, ["_block", "_part"]).filter(found).drop("_block", "_part")

@@ -44,6 +44,10 @@ class Workspace:
     def stale(self) -> str:
         return f"{self.folder}/stale_tables"
 
+    @property
+    def facts(self) -> str:
+        return f"{self.folder}/job_facts"
+
     @property
     def violations(self) -> str:
         return f"{self.folder}/latency_violations"
@@ -90,7 +94,8 @@ def check(
     """Store the report of all stale tables and return it.
 
     The stale tables are stored first: their names then cut down the job facts
-    before those are joined, and the activity is read once.
+    before those are joined, and the activity is read once. The facts are stored too,
+    so that the join with them can be spread.
     """
     stale = evaluate(
         read_table(spark, work.activity),
@@ -108,7 +113,8 @@ def check(
     facts = enrichment(
         source_tables, sources, job_stats, zone, runtime=runtime, tiebreak=tiebreak, only_for=stale
     )
-    replace_table(report(stale, facts), work.violations)
+    replace_table(facts, work.facts)
+    replace_table(report(stale, read_table(spark, work.facts), spread=True), work.violations)
     return read_violations(spark, work.violations)
 
 

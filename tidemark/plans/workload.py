@@ -274,9 +274,9 @@ def _histories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 _ORDER = {"runtime": "batch_runtime", "tiebreak": ["event_id"]}
 
 
-def _full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = td.enrichment(*_histories(spark, sf_dir), **_ORDER)
-    return td.report(_stale_tables(spark, sf_dir, opted_out=True), facts)
+def _full_report(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    facts = td.enrichment(*_histories(spark, sf_dir), spread=spread, **_ORDER)
+    return td.report(_stale_tables(spark, sf_dir, opted_out=True), facts, spread)
 
 
 def _rules(spark: SparkSession) -> DataFrame:
@@ -555,6 +555,11 @@ def full_report(spark, sf_dir):
     return _projects(_full_report(spark, sf_dir))
 
 
+@_register(f"SELECT {_REPORT_COLUMNS} FROM full_report_in")
+def full_report_spread(spark, sf_dir):
+    return _projects(_full_report(spark, sf_dir, spread=True))
+
+
 # ---------------------------------------------------------------- routing
 
 
