@@ -129,3 +129,13 @@ def test_only_for_changes_nothing_in_the_report(spark, histories):
     whole = td.report(tables_, td.enrichment(*histories)).collect()
     cut = td.report(tables_, td.enrichment(*histories, only_for=tables_)).collect()
     assert sorted(whole, key=str) == sorted(cut, key=str)
+
+
+def test_ties_are_settled_the_same_way_whatever_the_order(spark):
+    rows = [(1, 1, i, 2, f"t{i}", True, DAY[0]) for i in range(20)]
+    picked = {
+        td.latest_source_tables(tables(spark, *given).repartition(n)).first().tablename
+        for given in (rows, rows[::-1])
+        for n in (1, 3, 8)
+    }
+    assert len(picked) == 1

@@ -17,7 +17,13 @@ from tidemark.operators.export import (
     write_report_or_message,
 )
 from tidemark.operators.joins import spread_left_join
-from tidemark.operators.latency import eligible_tables, evaluate, pick_threshold, stale_matches
+from tidemark.operators.latency import (
+    describe,
+    eligible_tables,
+    evaluate,
+    pick_threshold,
+    stale_matches,
+)
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.matching import match_regex, match_thresholds
 from tidemark.operators.routing import dataset_id, route

@@ -19,8 +19,17 @@ from tidemark.presets import (
 )
 
 
-def _newest(runtime: str, tiebreak: Sequence[str]) -> list[Column]:
-    return [F.desc(runtime), *(F.desc(column) for column in tiebreak)]
+def _newest(
+    history: DataFrame, keys: list[str], columns: list[str], runtime: str, tiebreak: Sequence[str]
+) -> DataFrame:
+    """The newest row per key, with these columns.
+
+    Rows that tie in everything named are told apart by a hash, so that a task that is
+    run again, or a second reader of the plan, picks the same row.
+    """
+    needed = history.select(*dict.fromkeys([*keys, *columns, runtime, *tiebreak]))
+    order = [F.desc(runtime), *(F.desc(column) for column in tiebreak)]
+    return latest_per_key(needed, keys, [*order, F.xxhash64(*needed.columns)])
 
 
 def status_name(code: Column) -> Column:
@@ -39,18 +48,17 @@ def latest_source_tables(
     Filtered first: an older active row stands in for a newer inactive one.
     """
     active = history.filter((F.col("selected") == F.lit(True)) & (F.col("status") == ACTIVE_STATUS))
-    return latest_per_key(active, ["sourceid", "tableid"], _newest(runtime, tiebreak)).select(
-        "tableid", "sourceid", "companyid", "status", "tablename"
-    )
+    columns = ["tableid", "sourceid", "companyid", "status", "tablename"]
+    return _newest(active, ["sourceid", "tableid"], columns, runtime, tiebreak).select(*columns)
 
 
 def latest_sources(
     history: DataFrame, runtime: str = RUNTIME_COLUMN, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
     """Latest row per source, with its status in words."""
-    return latest_per_key(history, ["sourceid"], _newest(runtime, tiebreak)).select(
-        "sourceid", "companyid", "type", status_name(F.col("status")).alias("status"), "name"
-    )
+    columns = ["sourceid", "companyid", "type", "status", "name"]
+    latest = _newest(history, ["sourceid"], columns, runtime, tiebreak).select(*columns)
+    return latest.withColumn("status", status_name(F.col("status")))
 
 
 def latest_job_stats(
@@ -60,7 +68,8 @@ def latest_job_stats(
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Latest job result per (source, table name), with its end time in ``zone``."""
-    latest = latest_per_key(history, ["sourceid", "tablename"], _newest(runtime, tiebreak))
+    columns = ["tableid", "sourceid", "lasterrorcode", "lasterror", "lastendtime"]
+    latest = _newest(history, ["sourceid", "tablename"], columns, runtime, tiebreak)
     ended = local_time(utc_from_millis(latest, "lastendtime"), zone)
     return latest.select(
         "tableid", "sourceid", "lasterrorcode", "lasterror", ended.alias("last_job_end_time")
@@ -90,7 +99,7 @@ def enrichment(
     job results multiply them. Results for the names it holds do not change.
 
     ``spread`` is for a ``tableid`` that very many job results share, see
-    ``spread_left_join``; then ``tiebreak`` should leave no ties.
+    ``spread_left_join``.
     """
     tables = latest_source_tables(source_tables, runtime, tiebreak)
     named = latest_sources(sources, runtime, tiebreak).select(

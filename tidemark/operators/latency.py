@@ -32,50 +32,54 @@ def eligible_tables(
     ).withColumn("latency_threshold", F.coalesce("latency_threshold", F.lit(default_hours)))
 
 
-def stale_matches(
-    eligible: DataFrame,
+def stale_matches(eligible: DataFrame, as_of: datetime | str | Column | None) -> DataFrame:
+    """Keep the matches whose table is older than the threshold, strictly and to the instant."""
+    modified = utc_instant(eligible, "storage_last_modified_time")
+    return eligible.filter(modified < as_of_instant(as_of) - hours(F.col("latency_threshold")))
+
+
+def pick_threshold(stale: DataFrame) -> DataFrame:
+    """One row per stale table: the threshold with the longest pattern among those violated."""
+    order = [
+        F.desc("storage_last_modified_time"),
+        F.desc(F.length("table_pattern")),
+        F.asc("table_pattern"),
+        F.asc("latency_threshold"),
+    ]
+    return latest_per_key(stale, ["table_schema", "table_name"], order).drop("table_pattern")
+
+
+def describe(
+    stale: DataFrame,
     as_of: datetime | str | Column | None,
     zone: str = DISPLAY_ZONE,
     hour_mode: str = "elapsed",
 ) -> DataFrame:
-    """Keep the matches whose table is older than the threshold, strictly.
+    """What is shown of a stale table: its time in the display zone and its age in whole hours.
 
-    Compared on the exact instant. The whole hours shown are for reading only:
-    ``elapsed`` counts hours that have passed, ``boundary`` full hours on the clock
-    of the display zone.
+    ``elapsed`` counts hours that have passed, ``boundary`` full hours on the clock of
+    the display zone. Neither decides what is stale.
     """
     if hour_mode not in ("elapsed", "boundary"):
         raise ValueError(f"hour_mode must be 'elapsed' or 'boundary', not {hour_mode!r}")
     now = as_of_instant(as_of)
-    modified = utc_instant(eligible, "storage_last_modified_time")
+    modified = utc_instant(stale, "storage_last_modified_time")
     local = local_time(modified, zone)
     age = (
         elapsed_hours(modified, now)
         if hour_mode == "elapsed"
         else hour_boundaries(local, local_time(now, zone))
     )
-    return eligible.filter(modified < now - hours(F.col("latency_threshold"))).select(
+    return stale.select(
         "table_schema",
         "table_name",
         local.alias("last_update"),
         "latency_threshold",
         age.alias("hours_since_last_update"),
         "present_in_projects",
-        "table_pattern",
     )
 
 
-def pick_threshold(stale: DataFrame) -> DataFrame:
-    """One row per stale table: the threshold with the longest pattern among those violated."""
-    order = [
-        F.desc("last_update"),
-        F.desc(F.length("table_pattern")),
-        F.asc("table_pattern"),
-        F.asc("latency_threshold"),
-    ]
-    return latest_per_key(stale, ["table_schema", "table_name"], order).drop("table_pattern")
-
-
 def _old_enough(tables: DataFrame, thresholds: DataFrame, now: Column, default_hours: int) -> DataFrame:
     """Drop tables younger than every threshold there is: no match could make them stale."""
     shortest = thresholds.agg(
@@ -109,4 +113,4 @@ def evaluate(
     tables = exclude(tables, ignored_datasets, ignored_tables)
     matched = match_thresholds(tables, thresholds, nested_loop_rules)
     eligible = eligible_tables(matched, scope, default_hours)
-    return pick_threshold(stale_matches(eligible, as_of, zone, hour_mode))
+    return describe(pick_threshold(stale_matches(eligible, as_of)), as_of, zone, hour_mode)

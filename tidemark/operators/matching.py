@@ -25,6 +25,15 @@ def is_short(rules: DataFrame, pattern: str, limit: int) -> bool:
     return len(lengths) <= limit and sum(length for (length,) in lengths) <= _BROADCAST_BYTES
 
 
+def _many_tasks(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out to as many tasks as a shuffle has.
+
+    Matching costs far more time per byte than other work, so partitions must not be
+    merged by their size; Spark leaves a number that is asked for as it is.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 # A wildcard that no escape stands before, or an even number of backslashes.
 _FREE = r"(?<!\\)((?:\\\\)*)"
 
@@ -165,7 +174,10 @@ def _match_by_piece(named: DataFrame, rules: DataFrame) -> DataFrame:
     place = F.when(row == 0, F.lit(0)).otherwise(F.pmod(row - 1, places) + 1)
     spread = F.pmod(F.xxhash64("table_schema", "table_name"), F.lit(_SPREAD)).cast("int")
     left = (
-        named.withColumn("_kinds", kinds.scalar())
+        # Other key order than the grouping that made the tables, whose shuffle Spark would
+        # take for this one; the window below can still do without another.
+        _many_tasks(named, "table_name", "table_schema")
+        .withColumn("_kinds", kinds.scalar())
         .withColumn("_row", F.explode(F.sequence(F.lit(0), F.size("_kinds") * F.length(name))))
         .withColumn("_place", place)
         .withColumn("_kind", F.get("_kinds", F.floor((row - 1) / places).cast("int")))
@@ -217,4 +229,5 @@ def match_regex(
     copied = ids.withColumn(
         "_part", F.pmod(F.xxhash64(id_column), F.lit(_SPREAD)).cast("int")
     ).withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    copied = _many_tasks(copied, "_block", "_part")
     return copied.join(blocked, ["_block", "_part"]).filter(found).drop("_block", "_part")

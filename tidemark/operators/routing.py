@@ -86,5 +86,8 @@ def route(
         "_id", *ROUTE_COLUMNS
     )
     matched = with_id.join(routes.distinct() if dedupe else routes, "_id").select(*columns)
-    default = F.broadcast(rules.filter(F.col("is_default")).select(*ROUTE_COLUMNS).limit(1))
-    return records.join(default, F.lit(True)).select(*columns).unionByName(matched)
+    default = rules.filter(F.col("is_default")).limit(1)
+    everything = records.withColumns(
+        {column: default.select(column).scalar() for column in ROUTE_COLUMNS}
+    ).filter(F.col("route").isNotNull())
+    return everything.unionByName(matched)

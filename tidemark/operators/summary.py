@@ -42,6 +42,11 @@ def totals(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _with_values(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """The values of a one-row frame as columns of every row."""
+    return df.withColumns({name: one_row.select(name).scalar() for name in one_row.columns})
+
+
 def _most_first() -> list[Column]:
     return [F.desc("violations"), F.asc("table_schema")]
 
@@ -76,7 +81,7 @@ def summary_lines(
         ranked = Window.orderBy(*_most_first())
         candidates = counts.orderBy(*_most_first()).limit(most)
         candidates = candidates.withColumn("line_no", F.row_number().over(ranked))
-        lines = candidates.join(F.broadcast(totals(counts)), F.lit(True))
+        lines = _with_values(candidates, totals(counts))
     running = Window.partitionBy(*by).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     name = shortened(F.col("table_schema"), NAME_LIMIT, NAME_KEPT)
     return (
@@ -102,7 +107,7 @@ def summary_text(
     if by:
         joined = everything.join(shown, list(by), "left")
     else:
-        joined = everything.join(F.broadcast(shown), F.lit(True), "left")
+        joined = _with_values(everything, shown)
     joined = joined.withColumn("shown", F.coalesce("shown", F.lit(0)).cast("bigint"))
     left_out = F.col("total_datasets") - F.col("shown")
     tail = F.when(left_out == 1, F.format_string(TAIL_ONE, left_out)).when(

@@ -733,7 +733,7 @@ def violations_roundtrip(spark, sf_dir):
 @_register(_route_summary("routed_report"))
 def daily_run(spark, sf_dir):
     work = daily.Workspace(td.scratch_folder(spark))
-    rows = _activity(spark, sf_dir).persist()
+    rows = _activity(spark, sf_dir)
     activity = {
         project: rows.filter(F.col("source_project_id") == project).select(
             *(c for c in ACTIVITY.fieldNames() if c != "source_project_id")
@@ -741,7 +741,6 @@ def daily_run(spark, sf_dir):
         for project in ("proj_a", "proj_b", "proj_c")
     }
     daily.collect(spark, work, activity, {"proj_a": fx.options(spark)})
-    rows.unpersist()
     daily.check(
         spark,
         work,
