@@ -49,6 +49,14 @@ def test_longest_violated_pattern_wins_and_ties_are_settled(spark):
     assert stale(spark, [("d_prod_raw", "abc", 48)], rules) == [("d_prod_raw", "abc", 7, 48)]
 
 
+@pytest.mark.parametrize("nested_loop_rules", [64, 0])
+def test_pattern_listed_often(spark, nested_loop_rules):
+    rules = [("a%", 30), ("a%", None), ("a%", 20), ("a%", 100), ("b%", None), ("b%", None), ("b%", 70)]
+    rows = [("daton_x", "a", 48), ("daton_x", "ab", 25), ("daton_x", "a1", 10), ("daton_x", "b", 48), ("daton_x", "c", 48)]
+    found = stale(spark, rows, rules, nested_loop_rules=nested_loop_rules)
+    assert [r[1:3] for r in found] == [("a", 20), ("ab", 20), ("c", 24)]
+
+
 def test_comparison_is_strict_and_on_the_exact_time(spark):
     rows = [
         ("daton_x", "at_24", 24),

@@ -10,7 +10,8 @@ _SPREAD = 16
 
 def ignore_tables(tables: DataFrame, ignored: DataFrame) -> DataFrame:
     """Drop the listed (dataset, table) pairs. Same keys as ``live_tables`` groups by."""
-    return tables.join(ignored.select("table_schema", "table_name"), ["table_schema", "table_name"], "left_anti")
+    keys = ["table_schema", "table_name"]
+    return tables.join(ignored.select(*keys).distinct(), keys, "left_anti")
 
 
 def ignore_datasets(tables: DataFrame, ignored: DataFrame) -> DataFrame:

@@ -126,7 +126,8 @@ JOB_STATS = (
 )
 JOB_ENDED = {
     "spark": "CASE WHEN event_id % 17 = 0 THEN 'n/a' "
-    "ELSE CAST(unix_seconds(CAST(date_trunc('second', ts) AS TIMESTAMP)) * 1000 AS STRING) END AS ended",
+    "ELSE CAST(CAST(CAST(ts - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND) AS BIGINT) * 1000 AS STRING) "
+    "END AS ended",
     "oracle": "CASE WHEN event_id % 17 = 0 THEN 'n/a' "
     "ELSE CAST(epoch_ms(date_trunc('second', ts)) AS VARCHAR) END AS ended",
 }
