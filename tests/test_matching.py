@@ -10,6 +10,7 @@ import tidemark as td
 FIXED_PATTERNS = [
     "", "%", "_", "%%", "a%", "%a", "%a%", "a", "a%b", "%_%", "__%", "a\\_b%", "%\\_", "\\_%", "\\%%",
     "a\\%", "_\\_b", "\\_", "a\\_%\\_b", "\\\\%", "%\\\\", "a.b%", "(%", "%$", "^a%", "a%\nb",
+    "a\\b%", "\\a\\.%", "%\\.", "a\\", "\\", "\\\\\\", "%\\(\\$_",
 ]
 
 
@@ -17,7 +18,7 @@ def fits(name, pattern):
     out, i = "", 0
     while i < len(pattern):
         if pattern[i] == "\\":
-            i += 1
+            i = min(i + 1, len(pattern) - 1)
             out += re.escape(pattern[i])
         else:
             out += {"%": ".*", "_": "."}.get(pattern[i], re.escape(pattern[i]))

@@ -63,6 +63,16 @@ def test_conform(spark, region):
     assert conform(wide, THRESHOLDS).schema["latency_threshold"].dataType.simpleString() == "bigint"
 
 
+def test_read_source(spark, tmp_path):
+    rules = spark.createDataFrame([("a", 1, "x")], "table_pattern string, latency_threshold int, extra string")
+    td.replace_table(rules, str(tmp_path / "rules"))
+    assert tuple(td.read_source(spark, str(tmp_path / "rules"), THRESHOLDS).first()) == ("a", 1)
+    with pytest.raises(FileNotFoundError):
+        td.read_source(spark, str(tmp_path / "none"), THRESHOLDS)
+    with pytest.raises(TypeError):
+        td.read_source(spark, rules, OPTIONS)
+
+
 def test_opt_out_needs_the_label_and_the_blank(spark):
     rows = [
         ("yes", "labels", '[STRUCT("latency_check_ignore", "true")]'),

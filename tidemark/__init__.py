@@ -41,6 +41,7 @@ from tidemark.presets import MONITORED, Scope
 from tidemark.sources.activity import (
     file_activity,
     opt_out_datasets,
+    read_source,
     require_rows,
     table_activity,
     union_frames,

@@ -53,7 +53,10 @@ def _with_tests(rules: DataFrame) -> DataFrame:
     parts = F.split(pattern, "%")
     plain = ~F.contains(pattern, F.lit("_")) & ~F.contains(pattern, F.lit("\\"))
     around = plain & (F.size(parts) == 3) & pattern.startswith("%") & pattern.endswith("%")
-    escaped = F.regexp_replace(pattern, r"([.\[\]{}()*+?^$|])", r"\\$1")
+    # A backslash stands for itself at the end, and for nothing before an ordinary character.
+    kept = F.regexp_replace(pattern, _FREE + r"\\$", r"$1\\\\")
+    kept = F.regexp_replace(kept, _FREE + r"\\([^%_\\])", "$1$2")
+    escaped = F.regexp_replace(kept, r"([.\[\]{}()*+?^$|])", r"\\$1")
     regex = F.regexp_replace(F.regexp_replace(escaped, _FREE + "%", "$1.*"), _FREE + "_", "$1.")
     return rules.withColumns(
         {

@@ -19,8 +19,15 @@ from tidemark.operators.routing import route
 from tidemark.operators.rules import rules_from_json
 from tidemark.operators.summary import route_summary
 from tidemark.presets import DEFAULT_HOURS, DISPLAY_ZONE, MONITORED, RUNTIME_COLUMN, Scope
-from tidemark.sources.activity import opt_out_datasets, require_rows, union_sources
-from tidemark.sources.schemas import OPTIONS
+from tidemark.sources.activity import opt_out_datasets, read_source, require_rows, union_sources
+from tidemark.sources.schemas import (
+    ACTIVITY,
+    IGNORED_DATASETS,
+    IGNORED_TABLES,
+    OPTIONS,
+    THRESHOLDS,
+    conform,
+)
 from tidemark.sources.staging import read_table, read_violations, replace_table, row_counts
 
 Sources = Mapping[str, str | DataFrame | Iterable[str | DataFrame]]
@@ -98,10 +105,10 @@ def check(
     so that the join with them can be spread.
     """
     stale = evaluate(
-        read_table(spark, work.activity),
-        thresholds,
-        read_table(spark, work.opted_out),
-        ignored_tables,
+        read_source(spark, work.activity, ACTIVITY),
+        conform(thresholds, THRESHOLDS),
+        read_source(spark, work.opted_out, IGNORED_DATASETS),
+        conform(ignored_tables, IGNORED_TABLES),
         as_of,
         scope,
         default_hours,

@@ -65,6 +65,14 @@ def _open(spark: SparkSession, source: str | DataFrame) -> DataFrame | None:
         raise
 
 
+def read_source(spark: SparkSession, source: str | DataFrame, schema: T.StructType) -> DataFrame:
+    """One input table, its columns checked. Raises FileNotFoundError if there is none."""
+    df = _open(spark, source)
+    if df is None:
+        raise FileNotFoundError(source)
+    return conform(df, schema)
+
+
 def union_frames(frames: Iterable[DataFrame]) -> DataFrame:
     """All rows of all frames, columns matched by name; a column a frame lacks is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
