@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import scratch, table
+from tidemark.llm.mixing import byte_tokens, mixed
+from tidemark.llm.neardup_vectors import near_vectors
+from tidemark.llm.packing import packed
+from tidemark.llm.topk import sound_vectors, top_k
 from tidemark.llm.warc import read_warc, write_warc
 
 
@@ -29,5 +35,91 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
 FROM g
 """
 
-QUERIES = {"op1_warc": op1_warc}
-ORACLES = {"op1_warc": OP1}
+
+def op3_neardup_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings with their near copies."""
+    return near_vectors(table(spark, folder, "embeddings"), scratch(spark))
+
+
+OP3 = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+sound AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+  vec_id <= coalesce(b, vec_id) AS kept
+FROM v LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """As many tokens as there are, as evenly from all sources as repeating none more than twice allows."""
+    rows = table(spark, folder, "documents").select("doc_id", "source", byte_tokens().alias("tokens"))
+    return mixed(rows, scratch(spark), F.col("tokens"), budget="all", max_repeats=2.0).drop("tokens")
+
+
+OP4 = """
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(source, '') AS s, strlen(coalesce(text, '')) // 4 + 1 AS tokens
+  FROM documents),
+src AS (SELECT s, sum(tokens)::BIGINT AS t, sum(tokens)::DOUBLE / (SELECT sum(tokens) FROM d)::DOUBLE AS p FROM d GROUP BY s),
+bisect(i, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, CASE WHEN (SELECT max(pow(p, -1)) / count(*) FROM src) <= 2.0 THEN 0.0 ELSE 1.0 END::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END FROM (
+    SELECT i, lo, hi, (lo + hi) / 2 AS mid,
+      (SELECT max(pow(p, (lo + hi) / 2 - 1)) / sum(pow(p, (lo + hi) / 2)) FROM src) <= 2.0 AS ok
+    FROM bisect WHERE i < 30)),
+x AS (SELECT hi AS x FROM bisect WHERE i = 30),
+z AS (SELECT sum(pow(p, x)) AS z FROM src, x),
+w AS (SELECT s, t, floor(round(t * (pow(p, x - 1) / z), 3))::BIGINT AS a FROM src, x, z),
+q AS (SELECT s, t, a, a // t AS e, a % t AS r, (t + 4194303) // 4194304 AS n FROM w),
+pl AS (SELECT d.*, ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % n AS b FROM d JOIN q USING (s)),
+bl AS (SELECT s, b, sum(tokens)::BIGINT AS size FROM pl GROUP BY s, b),
+ep AS (SELECT bl.*, q.t, q.a, q.e, q.r, unnest(range(0, q.e + 1)) AS k FROM bl JOIN q USING (s)),
+o AS (SELECT *, row_number() OVER w AS bo, sum(size) OVER (w ROWS UNBOUNDED PRECEDING) - size AS before FROM ep
+  WINDOW w AS (PARTITION BY s, k ORDER BY md5('1:' || k || ':' || s || ':' || b), b)),
+tu AS (SELECT *, CASE WHEN k < e THEN size ELSE r - before END AS lft FROM o),
+m AS (SELECT doc_id, source, tokens, k, b, bo, md5('1:' || k || ':' || coalesce(doc_id::VARCHAR, '')) AS mo,
+    round((k * t + before)::DOUBLE / a, 9) AS pr, lft, s FROM pl JOIN tu USING (s, b) WHERE lft > 0),
+c AS (SELECT *, sum(tokens) OVER (PARTITION BY s, b, k ORDER BY mo, tokens ROWS UNBOUNDED PRECEDING) AS cum FROM m)
+SELECT doc_id, source, tokens AS mix_tokens, k::BIGINT AS mix_epoch, b AS mix_block, bo AS mix_block_order, mo AS mix_order,
+  pr AS mix_progress FROM c WHERE cum <= lft
+"""
+
+
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best of all vectors for every hundredth id."""
+    vectors = sound_vectors(table(spark, folder, "embeddings"))
+    whole = vectors.select("vec_id", F.transform("v", lambda x: F.floor(1024 * x.cast("double")).cast("double")).alias("v"))
+    return top_k(whole, whole.where("vec_id % 100 = 0"), 10, scratch(spark))
+
+
+OP8 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as pieces of sequences of 2,048 tokens."""
+    files = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    return packed(table(spark, folder, "documents"), scratch(spark), *map(str, files), public_tokenizers.PATTERN)
+
+
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op3_neardup_vectors": op3_neardup_vectors,
+    "op4_mixing": op4_mixing,
+    "op8_topk": op8_topk,
+    "op10_packing": op10_packing,
+}
+ORACLES = {"op1_warc": OP1, "op3_neardup_vectors": OP3, "op4_mixing": OP4, "op8_topk": OP8}
