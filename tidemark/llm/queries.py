@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import scratch, table
+from tidemark.llm.linededup import without_lines
 from tidemark.llm.mixing import byte_tokens, mixed
 from tidemark.llm.neardup_vectors import near_vectors
 from tidemark.llm.packing import packed
+from tidemark.llm.toxicity import fitted, held_out, scored
 from tidemark.llm.topk import sound_vectors, top_k
 from tidemark.llm.warc import read_warc, write_warc
 
@@ -91,6 +93,26 @@ SELECT doc_id, source, tokens AS mix_tokens, k::BIGINT AS mix_epoch, b AS mix_bl
 """
 
 
+def op6_linededup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, with what is left of each."""
+    rows = without_lines(table(spark, folder, "documents").select("doc_id", "text"), scratch(spark))
+    return rows.select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.octet_length("_kept").cast("bigint").alias("kept_bytes"),
+        F.md5("_kept").alias("kept_md5"),
+    )
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, scored by a model of the labelled ones that are not held out."""
+    documents = table(spark, folder, "documents")
+    model = fitted(documents, table(spark, folder, "labels"))
+    rows = scored(documents.select("doc_id", "text"), model)
+    return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best of all vectors for every hundredth id."""
     vectors = sound_vectors(table(spark, folder, "embeddings"))
@@ -119,6 +141,8 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op3_neardup_vectors": op3_neardup_vectors,
     "op4_mixing": op4_mixing,
+    "op6_linededup": op6_linededup,
+    "op7_toxicity": op7_toxicity,
     "op8_topk": op8_topk,
     "op10_packing": op10_packing,
 }
