@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import scratch, table
+from tidemark.llm.jaccard import jaccard_join
 from tidemark.llm.linededup import without_lines
 from tidemark.llm.mixing import byte_tokens, mixed
 from tidemark.llm.neardup_vectors import near_vectors
@@ -131,6 +132,29 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 1
 """
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their links at 85 percent of four-word shingles."""
+    return jaccard_join(table(spark, folder, "documents"), scratch(spark), 4, 85)
+
+
+OP9 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM d),
+t AS (SELECT doc_id, unnest(s) AS x FROM g),
+n AS (SELECT doc_id, len(s) AS n FROM g),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a),
+k AS (SELECT a, count(*) AS k FROM l GROUP BY a)
+SELECT n.doc_id, n AS n_shingles, coalesce(k, 0) AS n_links, least(n.doc_id, coalesce(m.b, n.doc_id)) AS component_id
+FROM n LEFT JOIN m ON m.a = n.doc_id LEFT JOIN k ON k.a = n.doc_id
+"""
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as pieces of sequences of 2,048 tokens."""
     files = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
@@ -144,6 +168,7 @@ QUERIES = {
     "op6_linededup": op6_linededup,
     "op7_toxicity": op7_toxicity,
     "op8_topk": op8_topk,
+    "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }
-ORACLES = {"op1_warc": OP1, "op3_neardup_vectors": OP3, "op4_mixing": OP4, "op8_topk": OP8}
+ORACLES = {"op1_warc": OP1, "op3_neardup_vectors": OP3, "op4_mixing": OP4, "op8_topk": OP8, "op9_jaccard": OP9}
