@@ -12,6 +12,7 @@ from tidemark.llm.linededup import without_lines
 from tidemark.llm.mixing import byte_tokens, mixed
 from tidemark.llm.neardup_vectors import near_vectors
 from tidemark.llm.packing import packed
+from tidemark.llm.repeats import without_repeats
 from tidemark.llm.toxicity import fitted, held_out, scored
 from tidemark.llm.topk import sound_vectors, top_k
 from tidemark.llm.warc import read_warc, write_warc
@@ -94,6 +95,11 @@ SELECT doc_id, source, tokens AS mix_tokens, k::BIGINT AS mix_epoch, b AS mix_bl
 """
 
 
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the bytes of strings of 200 bytes that also start elsewhere."""
+    return without_repeats(table(spark, folder, "documents"), scratch(spark))
+
+
 def op6_linededup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, with what is left of each."""
     rows = without_lines(table(spark, folder, "documents").select("doc_id", "text"), scratch(spark))
@@ -165,6 +171,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op3_neardup_vectors": op3_neardup_vectors,
     "op4_mixing": op4_mixing,
+    "op5_repeats": op5_repeats,
     "op6_linededup": op6_linededup,
     "op7_toxicity": op7_toxicity,
     "op8_topk": op8_topk,
