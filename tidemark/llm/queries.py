@@ -12,6 +12,7 @@ from tidemark.llm.linededup import without_lines
 from tidemark.llm.mixing import byte_tokens, mixed
 from tidemark.llm.neardup_vectors import near_vectors
 from tidemark.llm.packing import packed
+from tidemark.llm.quality import quality
 from tidemark.llm.repeats import without_repeats
 from tidemark.llm.toxicity import fitted, held_out, scored
 from tidemark.llm.topk import sound_vectors, top_k
@@ -40,6 +41,50 @@ FROM g
 """
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their scores; hosts are sources, and languages stand for paths within them."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    rows = quality(documents, table(spark, folder, "labels"), scratch(spark))
+    numbers = {"evidence": "evidence", "host_share": "host", "path_share": "path", "score": "score"}
+    rounded = [F.round(column, 6).alias(name) for column, name in numbers.items()]
+    return rows.select("doc_id", "held_out", *rounded, (F.col("score") >= 0.5).alias("kept"))
+
+
+OP2 = """
+WITH d AS (SELECT doc_id, source AS h, lang AS p, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % 5 = 0 AS held_out FROM documents),
+f AS (SELECT *, [{'f': 'symbols', 'b': least(7, floor(32.0::DOUBLE * (n - length(translate(t, '#$%&*|!', ''))) / (n + 1)))::INT},
+  {'f': 'capitals', 'b': least(7, floor(8.0::DOUBLE * (n - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) / (n + 1)))::INT},
+  {'f': 'size', 'b': length(bin(n))::INT},
+  {'f': 'word', 'b': least(15, floor(n / (1.0::DOUBLE + n - length(replace(t, ' ', '')))))::INT},
+  {'f': 'line', 'b': length(bin(floor(n / (1.0::DOUBLE + n - length(replace(t, chr(10), ''))))::BIGINT))::INT},
+  {'f': 'varied', 'b': floor(8.0::DOUBLE * len(list_distinct(string_split(t, ' '))) / len(string_split(t, ' ')))::INT}] AS x FROM d),
+l AS (SELECT doc_id, min(quality) AS y FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+g AS (SELECT f.*, CASE WHEN NOT held_out THEN y END AS y FROM f LEFT JOIN l USING (doc_id)),
+s AS (SELECT b.f AS f, b.b AS b, sum(y) AS good, count(*) AS n FROM (SELECT y, unnest(x) AS b FROM g WHERE y IS NOT NULL) GROUP BY ALL),
+o AS (SELECT f, sum(good) AS g, sum(n) AS a, count(*) AS k FROM s GROUP BY f),
+w AS (SELECT s.f, s.b, ln((good + 1) / (g + k)::DOUBLE) - ln((n - good + 1) / (a - g + k)::DOUBLE) AS odds FROM s JOIN o USING (f)),
+e AS (SELECT rid, sum(coalesce(odds, 0)) AS e FROM (SELECT rid, unnest(x) AS b FROM (SELECT row_number() OVER () AS rid, x FROM g)) q
+  LEFT JOIN w ON w.f = q.b.f AND w.b = q.b.b GROUP BY rid),
+r AS (SELECT row_number() OVER () AS rid, * FROM g),
+m AS (SELECT least(greatest(coalesce(avg(y), 0.5), 0.001), 0.999) AS m FROM g),
+z AS (SELECT r.doc_id, h, p, held_out, e.e, coalesce(y::DOUBLE, 1 / (1 + exp(-(ln(m / (1 - m)) + e.e)))) AS q FROM r JOIN e USING (rid), m),
+pa AS (SELECT h, p, sum(q) AS s, count(*) AS n FROM z GROUP BY ALL),
+ho AS (SELECT h, sum(s) AS hs, sum(n) AS hn FROM pa GROUP BY h),
+lv AS (SELECT sum(hs) / sum(hn) AS m, var_pop(hs / hn) AS v FROM ho),
+lk AS (SELECT m, least(greatest(CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 10000 END, 1), 10000) AS k FROM lv),
+hm AS (SELECT h, (hs + k * m) / (hn + k) AS host FROM ho, lk),
+pm AS (SELECT pa.*, host FROM pa JOIN hm ON pa.h IS NOT DISTINCT FROM hm.h),
+sv AS (SELECT avg(pow(s / n - host, 2)) AS v, avg(host) AS m FROM pm),
+sk AS (SELECT least(greatest(CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 10000 END, 1), 10000) AS k FROM sv),
+y AS (SELECT doc_id, held_out, e, host, (s + k * host) / (n + k) AS path,
+    least(greatest((s - q + k * host) / (n - 1 + k), 0.001), 0.999) AS c
+  FROM z JOIN pm ON z.h IS NOT DISTINCT FROM pm.h AND z.p IS NOT DISTINCT FROM pm.p, sk)
+SELECT doc_id, held_out, round(e, 6) AS evidence, round(host, 6) AS host, round(path, 6) AS path,
+  round(1 / (1 + exp(-(ln(c / (1 - c)) + e))), 6) AS score, 1 / (1 + exp(-(ln(c / (1 - c)) + e))) >= 0.5 AS kept FROM y
+"""
+
+
 def op3_neardup_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """All embeddings with their near copies."""
     return near_vectors(table(spark, folder, "embeddings"), scratch(spark))
@@ -169,6 +214,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_quality": op2_quality,
     "op3_neardup_vectors": op3_neardup_vectors,
     "op4_mixing": op4_mixing,
     "op5_repeats": op5_repeats,
@@ -178,4 +224,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }
-ORACLES = {"op1_warc": OP1, "op3_neardup_vectors": OP3, "op4_mixing": OP4, "op8_topk": OP8, "op9_jaccard": OP9}
+ORACLES = {
+    "op1_warc": OP1,
+    "op2_quality": OP2,
+    "op3_neardup_vectors": OP3, "op4_mixing": OP4, "op8_topk": OP8, "op9_jaccard": OP9}
