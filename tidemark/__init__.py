@@ -40,6 +40,7 @@ from tidemark.operators.summary import (
 from tidemark.presets import MONITORED, Scope
 from tidemark.sources.activity import (
     file_activity,
+    file_rows,
     opt_out_datasets,
     read_source,
     require_rows,
@@ -52,7 +53,7 @@ from tidemark.sources.staging import (
     read_violations,
     replace_table,
     row_counts,
-    scratch_folder,
 )
+from tidemark.sources.stored import scratch_folder
 
 __all__ = [name for name in dir() if not name.startswith("_")]

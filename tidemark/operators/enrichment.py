@@ -17,6 +17,7 @@ from tidemark.presets import (
     STATUS_NAMES,
     UNKNOWN_STATUS,
 )
+from tidemark.sources.schemas import JOB_STATS, SOURCE_TABLES, SOURCES, conform, with_runtime
 
 
 def _newest(
@@ -101,6 +102,8 @@ def enrichment(
     ``spread`` is for a ``tableid`` that very many job results share, see
     ``spread_left_join``.
     """
+    for history, schema in ((source_tables, SOURCE_TABLES), (sources, SOURCES), (job_stats, JOB_STATS)):
+        conform(history, with_runtime(schema, runtime))  # raises TypeError
     tables = latest_source_tables(source_tables, runtime, tiebreak)
     named = latest_sources(sources, runtime, tiebreak).select(
         "sourceid", F.col("type").alias("platform"), F.col("status").alias("source_status"), "name"
@@ -116,7 +119,7 @@ def enrichment(
         F.concat("name", F.lit("_"), "tablename").alias("table_name"),
     )
     if only_for is not None:
-        described = described.join(only_for.select("table_name"), "table_name", "left_semi")
+        described = described.join(only_for.select("table_name").distinct(), "table_name", "left_semi")
     facts = ["lasterrorcode", "lasterror", "last_job_end_time"]
     return _left_join(described, stats.select(*key, *facts), key, spread).select(
         "companyid", "platform", "source_status", *facts, "table_name"
@@ -128,13 +131,14 @@ def report_order() -> list[Column]:
     return [F.desc("hours_since_last_update"), F.asc("table_schema"), F.asc("table_name")]
 
 
-def report(stale: DataFrame, facts: DataFrame, spread: bool = False) -> DataFrame:
+def report(stale: DataFrame, facts: DataFrame, spread: bool = False, ordered: bool = True) -> DataFrame:
     """The report: each stale table with the job facts of every table of that name.
 
     ``spread`` is for a name that very many facts share; ``facts`` is then read twice.
+    ``ordered=False`` leaves out the sort, for rows that are to be stored.
     """
     facts = facts.filter(F.col("table_name").isNotNull()).drop("companyid")
-    return (
+    rows = (
         _left_join(stale, facts, ["table_name"], spread)
         .select(
             "table_schema",
@@ -149,5 +153,5 @@ def report(stale: DataFrame, facts: DataFrame, spread: bool = False) -> DataFram
             "lasterror",
             second_text(F.col("last_job_end_time")).alias("last_job_end_time"),
         )
-        .orderBy(*report_order())
     )
+    return rows.orderBy(*report_order()) if ordered else rows

@@ -7,27 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PARTS = 32
+ROWS_PER_PART = 10_000
 
 
 def spread_left_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], parts: int = PARTS
+    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
-    """``left.join(right, keys, "left")`` with the rows of each key spread over parts.
+    """``left.join(right, keys, "left")`` with the right rows of heavy keys spread over parts.
 
     Spark splits a heavy key of a left join on the left side only: all right rows of
-    the key stay in one task. Here the right rows are dealt out to parts, and each left
-    row is copied to those parts of its key that have rows. A copy always meets a row,
-    so there are never more copies than rows in the result, and a left row without any
-    match stays one row.
+    the key stay in one task. Here they are counted first. A key's right rows are dealt out
+    in turn to as many parts as its count asks for, equal rows too, and each left row is copied
+    to all parts of its key. Other keys have one part, which is the plain join.
 
-    ``right`` is read twice and must give the same rows both times: a stored table, or
-    a plan whose every order is total.
+    ``right`` is read twice and must have the same keys both times: a stored table, or
+    a plan whose every order is total. Which row goes to which part may differ.
     """
     keys = list(keys)
     facts = [column for column in right.columns if column not in keys]
-    dealt = right.withColumn("_part", F.pmod(F.xxhash64(*right.columns), F.lit(parts)).cast("int"))
-    # One row per key, at most ``parts`` numbers in it.
-    held = dealt.groupBy(*keys).agg(F.collect_set("_part").alias("_parts"))
-    copies = left.join(held, keys, "left").withColumn("_part", F.explode_outer("_parts"))
-    return copies.join(dealt, [*keys, "_part"], "left").select(*left.columns, *facts)
+    counted = right.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_part).cast("int").alias("_parts"))
+    turn = F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int")
+    dealt = right.withColumn("_met", F.lit(True)).join(counted, keys).withColumn("_part", turn).drop("_parts")
+    parts = F.when(F.col("_parts") > 1, F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(F.array(F.lit(0)))
+    copies = left.join(counted, keys, "left").withColumn("_part", F.explode(parts))
+    joined = copies.join(dealt, [*keys, "_part"], "left")
+    # A copy in a part that got no row stands for nothing: its key has rows in another.
+    return joined.filter(F.col("_parts").isNull() | F.col("_met")).select(*left.columns, *facts)

@@ -18,7 +18,7 @@ from tidemark.functions.time import (
 )
 from tidemark.operators.exclusion import exclude
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.matching import NESTED_LOOP_RULES, is_short, match_thresholds
+from tidemark.operators.matching import NESTED_LOOP_RULES, match_thresholds
 from tidemark.operators.scope import has_default_threshold, live_tables
 from tidemark.presets import DEFAULT_HOURS, DISPLAY_ZONE, MONITORED, Scope
 
@@ -88,17 +88,13 @@ def _old_enough(tables: DataFrame, thresholds: DataFrame, now: Column, default_h
     return tables.filter(utc_instant(tables, "storage_last_modified_time") < now - hours(shortest))
 
 
-def _one_per_pattern(thresholds: DataFrame, nested_loop_rules: int) -> DataFrame:
-    """Keep the shortest threshold of each pattern, in a list that is long.
+def _one_per_pattern(thresholds: DataFrame) -> DataFrame:
+    """Keep the shortest threshold of each pattern.
 
     It is violated whenever a longer one of the same pattern is, and is the one picked.
     So a pattern listed very often does not multiply the tables it fits.
     """
-    if is_short(thresholds, "table_pattern", nested_loop_rules):
-        return thresholds
-    return thresholds.groupBy("table_pattern").agg(
-        F.min("latency_threshold").alias("latency_threshold")
-    )
+    return thresholds.groupBy("table_pattern").agg(F.min("latency_threshold").alias("latency_threshold"))
 
 
 def evaluate(
@@ -124,7 +120,7 @@ def evaluate(
     tables = live_tables(activity, scope)
     tables = _old_enough(tables, thresholds, as_of_instant(as_of), default_hours)
     tables = exclude(tables, ignored_datasets, ignored_tables)
-    rules = _one_per_pattern(thresholds, nested_loop_rules)
+    rules = _one_per_pattern(thresholds)
     matched = match_thresholds(tables, rules, nested_loop_rules)
     eligible = eligible_tables(matched, scope, default_hours)
     return describe(pick_threshold(stale_matches(eligible, as_of)), as_of, zone, hour_mode)

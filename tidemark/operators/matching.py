@@ -2,14 +2,17 @@
 
 Spark plans such a join as a nested loop over a broadcast rule table. That is
 right for a short rule list and wrong for a long one, so each join here first
-counts the rules, up to a limit, and takes another exact way beyond it.
+counts the rules, up to a limit, and takes another way beyond it. Both ways give
+the same rows, NULLs and repeats included; tests hold them against each other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.stored import stored
+
 NESTED_LOOP_RULES = 64
 _BROADCAST_BYTES = 1 << 20
 _LONGEST_PIECE = 3
@@ -160,54 +163,45 @@ def _with_anchor(rules: DataFrame) -> DataFrame:
 def _match_by_piece(named: DataFrame, rules: DataFrame) -> DataFrame:
     """The same left join for a long rule list: equality on a piece of text, then LIKE.
 
-    Spark joins on that equality as it does on any key: it broadcasts the rules if
-    they turn out small and shuffles both sides if not.
+    The rules with their pieces are stored, so that they are worked out once. Only key and
+    name of a table are multiplied by its pieces; what matches comes back to the tables
+    by key, and a table nothing fits, or without a name, stays one row.
     """
+    anchored = stored(_with_tests(_with_anchor(rules)))
+    # Six kinds of pieces at most: placed or not, and three sizes. No size: wildcards only.
+    kinds = anchored.select((F.col("at") > 0).alias("placed"), F.length("piece").alias("size")).distinct().collect()
+    keys = ["table_schema", "table_name"]
+    names = named.select(*keys, "_name").filter(F.col("_name").isNotNull()).distinct()
+    names = _many_tasks(names, "table_name", "table_schema")
     name = F.col("_name")
-    anchored = _with_tests(_with_anchor(rules))
-    # Only the kinds of pieces that some rule is keyed by.
-    kinds = anchored.filter(F.col("piece") != "").agg(
-        F.collect_set(F.struct((F.col("at") > 0).alias("placed"), F.length("piece").alias("size")))
-    )
-    # One row per kind and place, then plain substrings: all of it in generated code.
-    # Row 0 has the empty piece. It meets patterns made of wildcards only, and is the row
-    # that stays when nothing fits; every table has it, so it is spread over many keys.
-    row, kind, piece = F.col("_row"), F.col("_kind"), F.col("_piece")
-    places = F.greatest(F.length(name), F.lit(1))
-    place = F.when(row == 0, F.lit(0)).otherwise(F.pmod(row - 1, places) + 1)
-    spread = F.pmod(F.xxhash64("table_schema", "table_name"), F.lit(_SPREAD)).cast("int")
-    left = (
-        # Other key order than the grouping that made the tables, whose shuffle Spark would
-        # take for this one; the window below can still do without another.
-        _many_tasks(named, "table_name", "table_schema")
-        .withColumn("_kinds", kinds.scalar())
-        .withColumn("_row", F.explode(F.sequence(F.lit(0), F.size("_kinds") * F.length(name))))
-        .withColumn("_place", place)
-        .withColumn("_kind", F.get("_kinds", F.floor((row - 1) / places).cast("int")))
-        .withColumn("_piece", F.when(row == 0, "").otherwise(F.substr(name, F.col("_place"), kind["size"])))
-        .filter(
-            (row == 0)
-            # A piece that runs over the end is none; one without a place counts once.
-            | (F.length(piece) == kind["size"])
-            & (kind["placed"] | (F.instr(name, piece) == F.col("_place")))
-        )
-        .withColumn("_at", F.when((row > 0) & kind["placed"], F.col("_place")).otherwise(F.lit(0)))
-        .withColumn("_part", F.when(row == 0, spread).otherwise(F.lit(0)))
-        .drop("_kinds", "_kind", "_row", "_place")
-    )
-    copies = F.when(F.col("piece") == "", F.sequence(F.lit(0), F.lit(_SPREAD - 1)))
-    right = anchored.withColumn("part", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-    same_key = (
-        (F.col("_piece") == F.col("piece")) & (F.col("_at") == F.col("at")) & (F.col("_part") == F.col("part"))
-    )
-    matched = F.col("table_pattern").isNotNull()
-    table = Window.partitionBy("table_schema", "table_name")
-    return (
-        left.join(right, same_key & _fits(name), "left")
-        .filter(matched | (F.col("_piece") == ""))
-        .withColumn("_any", F.max(matched).over(table))
-        .filter(matched | ~F.col("_any"))
-    )
+    matches = []
+    for placed, size in sorted(kinds):
+        if size == 0:
+            fits_all = anchored.filter(F.col("piece") == "")
+            # Equality again, on one of a few numbers: wildcards only are told apart by length alone.
+            spread = F.pmod(F.xxhash64(*keys), F.lit(_SPREAD)).cast("int")
+            right = fits_all.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
+            matches.append(names.withColumn("_part", spread).join(right, (F.col("_part") == F.col("part")) & _fits(name)))
+            continue
+        place = F.explode(F.when(F.length(name) >= size, F.sequence(F.lit(1), F.length(name) - size + 1)))
+        pieces = names.withColumn("_place", place).withColumn("_piece", F.substr(name, F.col("_place"), F.lit(size)))
+        same = F.col("_piece") == F.col("piece")
+        if placed:
+            right = anchored.filter((F.col("at") > 0) & (F.length("piece") == size))
+            same = same & (F.col("_place") == F.col("at"))
+        else:
+            right = anchored.filter((F.col("at") == 0) & (F.length("piece") == size))
+            pieces = pieces.filter(F.instr(name, F.col("_piece")) == F.col("_place"))  # once for each piece
+        matches.append(pieces.join(right, same & _fits(name)))
+    found = ["table_pattern", "latency_threshold"]
+    if not matches:
+        return named.withColumns({"table_pattern": F.lit(None).cast("string"), "latency_threshold": F.lit(None).cast("int")})
+    chosen = [m.select(*(F.col(k).alias(f"_{k}") for k in keys), *found) for m in matches]
+    matched = chosen[0]
+    for more in chosen[1:]:
+        matched = matched.unionByName(more)
+    same_table = F.col("table_schema").eqNullSafe(F.col("_table_schema")) & (F.col("table_name") == F.col("_table_name"))
+    return named.join(matched, same_table, "left")
 
 
 def match_regex(
@@ -215,22 +209,56 @@ def match_regex(
 ) -> DataFrame:
     """Ids joined to the rules whose regular expression is found in them.
 
-    A regular expression has no key to join on. A long rule list is therefore cut into
-    blocks of about ``nested_loop_rules`` rules and the ids into parts; each block meets
-    each part in a task of its own, and no side is broadcast.
+    A short list is tested with literal patterns, each compiled once. Of a long one, patterns
+    that are alternatives of plain text meet only the ids that hold a piece of that text. The
+    others have no key to join on: they are cut into blocks of ``_BLOCK`` patterns and the ids
+    into parts, as many as a shuffle has; each block meets each part in a task of its own.
     """
-    found = F.rlike(F.col(id_column), F.col("pattern"))
     if is_short(rules, "pattern", nested_loop_rules):
-        return ids.join(F.broadcast(rules), found)
-    blocks = rules.agg(
-        F.ceil(F.count(F.lit(1)) / nested_loop_rules).cast("int").alias("n")
-    ).scalar()
-    all_parts = F.sequence(F.lit(0), F.lit(_SPREAD - 1))
-    blocked = rules.withColumn(
-        "_block", F.pmod(F.xxhash64("rule_no", "pattern"), blocks).cast("int")
-    ).withColumn("_part", F.explode(all_parts))
-    copied = ids.withColumn(
-        "_part", F.pmod(F.xxhash64(id_column), F.lit(_SPREAD)).cast("int")
-    ).withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    copied = _many_tasks(copied, "_block", "_part")
-    return copied.join(blocked, ["_block", "_part"]).filter(found).drop("_block", "_part")
+        # So few, and so small, that they may be held here.
+        listed = [p for (p,) in rules.select("pattern").distinct().collect() if p is not None]
+        found = [F.when(F.rlike(F.col(id_column), F.lit(p)), F.lit(p)) for p in sorted(listed)]
+        patterns = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+        pairs = ids.withColumn("_pattern", F.explode(patterns))
+    else:
+        pairs = _found_pairs(ids, rules.select("pattern").distinct(), id_column)
+    return pairs.join(rules, F.col("_pattern") == F.col("pattern")).drop("_pattern")
+
+
+_BLOCK = 64
+# Alternatives without any sign that has a meaning in a regular expression, but for ends of the text.
+_PLAIN = r"^[\^]?[A-Za-z0-9_ -]+[$]?([|][\^]?[A-Za-z0-9_ -]+[$]?)*$"
+
+
+def _found_pairs(ids: DataFrame, patterns: DataFrame, id_column: str) -> DataFrame:
+    """Rows of ids with each pattern found in them, as ``_pattern``."""
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = F.col(id_column)
+    texts = ids.select(id_column).filter(value.isNotNull()).distinct()
+    plain = patterns.filter(F.col("pattern").rlike(_PLAIN))
+    # The first three letters of each alternative; all ids that hold the alternative hold them.
+    literal = F.transform(F.split("pattern", "[|]"), lambda x: F.substring(F.regexp_replace(x, "[$^]", ""), 1, _LONGEST_PIECE))
+    keyed = plain.select("pattern", F.explode(F.array_distinct(literal)).alias("_key"))
+    pieces = F.flatten(
+        F.array(
+            *(
+                F.when(
+                    F.length(value) >= size,
+                    F.transform(F.sequence(F.lit(1), F.length(value) - size + 1), lambda at, n=size: F.substr(value, at, F.lit(n))),
+                ).otherwise(F.array().cast("array<string>"))
+                for size in range(1, _LONGEST_PIECE + 1)
+            )
+        )
+    )
+    by_text = texts.withColumn("_key", F.explode(F.array_distinct(pieces))).join(keyed, "_key")
+    by_text = by_text.select(id_column, "pattern").distinct().filter(F.rlike(value, F.col("pattern")))
+    other = patterns.filter(~F.col("pattern").rlike(_PLAIN))
+    blocks = -(-other.count() // _BLOCK)
+    if blocks:
+        blocked = other.select("pattern", F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int").alias("_block"))
+        blocked = blocked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        copied = texts.withColumn("_part", F.pmod(F.xxhash64(id_column), F.lit(parts)).cast("int"))
+        copied = _many_tasks(copied.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), "_block", "_part")
+        met = copied.join(blocked, ["_block", "_part"]).filter(F.rlike(value, F.col("pattern")))
+        by_text = by_text.unionByName(met.select(id_column, "pattern"))
+    return ids.join(by_text.withColumnRenamed("pattern", "_pattern"), id_column)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.matching import NESTED_LOOP_RULES, is_short, match_regex
+from tidemark.operators.matching import NESTED_LOOP_RULES, match_regex
 from tidemark.presets import DATASET_ID_COLUMNS
 
 ROUTE_COLUMNS = ["route", "is_default", "channels"]
@@ -59,35 +59,25 @@ def route(
     fallback_channels: Sequence[str] | None = None,
     nested_loop_rules: int = NESTED_LOOP_RULES,
 ) -> DataFrame:
-    """Each record once for the default route and once per rule found in its dataset id.
+    """Each record once for every default rule and once per rule found in its dataset id.
 
-    Two rules with the same channels list a record twice in that route, unless
-    ``dedupe`` is set. A short rule list takes one pass over the records: the default
-    is a rule that every record meets, so the records are not read a second time for it.
-    ``fallback_channels`` stand in for a default that the rules lack.
+    Two rules with the same channels list a record twice in that route, unless ``dedupe`` is
+    set. Patterns meet the distinct ids only; the records are read once and get the routes of
+    their id. ``fallback_channels`` stand in for a default that the rules lack; without either,
+    records that no rule finds would reach nobody, so that is a ValueError.
     """
     if fallback_channels:
         rules = with_default(rules, fallback_channels)
+    elif rules.filter(F.col("is_default")).isEmpty():
+        raise ValueError("no default channel and no fallback")
     rules = with_routes(rules)
-    columns = [*records.columns, *ROUTE_COLUMNS]
+    named = F.struct(*ROUTE_COLUMNS)
+    defaults = rules.filter(F.col("is_default")).agg(F.array_sort(F.collect_list(named)).alias("d"))
     with_id = records.withColumn("_id", dataset_id(records, id_columns))
-    if is_short(rules, "pattern", nested_loop_rules):
-        if dedupe:
-            merged = rules.groupBy(*ROUTE_COLUMNS).agg(F.collect_list("pattern").alias("patterns"))
-            found = F.exists("patterns", lambda pattern: F.rlike(F.col("_id"), pattern))
-        else:
-            merged = rules.select(*ROUTE_COLUMNS, "pattern")
-            found = F.rlike(F.col("_id"), F.col("pattern"))
-        reached = F.col("is_default") | (has_id("_id") & found)
-        return with_id.join(F.broadcast(merged), reached).select(*columns)
-    # Many rules: match the distinct ids, then bring the routes to the records by id.
     ids = with_id.filter(has_id("_id")).select("_id").distinct()
-    routes = match_regex(ids, rules.filter(~F.col("is_default")), "_id", nested_loop_rules).select(
-        "_id", *ROUTE_COLUMNS
-    )
-    matched = with_id.join(routes.distinct() if dedupe else routes, "_id").select(*columns)
-    default = rules.filter(F.col("is_default")).limit(1)
-    everything = records.withColumns(
-        {column: default.select(column).scalar() for column in ROUTE_COLUMNS}
-    ).filter(F.col("route").isNotNull())
-    return everything.unionByName(matched)
+    found = match_regex(ids, rules.filter(~F.col("is_default")), "_id", nested_loop_rules)
+    # As many routes per id as there are rules at most.
+    found = found.groupBy(F.col("_id").alias("_found_id")).agg(F.array_sort(F.collect_list(named)).alias("_routes"))
+    routed = with_id.join(found, F.col("_id") == F.col("_found_id"), "left")
+    reached = F.concat(defaults.scalar(), F.coalesce("_routes", F.array().cast(found.schema["_routes"].dataType)))
+    return routed.select(*records.columns, F.inline(F.array_distinct(reached) if dedupe else reached))

@@ -50,9 +50,15 @@ def _problem(is_default: Column, pattern: Column, kind: Column, channels: Column
         .when(kind == "VOID", F.lit(NULL_VALUE))
         .when(kind != "STRING", F.lit(NOT_A_STRING))
         .when(F.size(channels) == 0, F.lit(NO_CHANNEL))
+        .when(~is_default & _is_bad_regex(pattern), F.lit(BAD_REGEX))
     )
 
 
+def _is_bad_regex(pattern: Column) -> Column:
+    """Whether Java refuses to compile a pattern."""
+    return F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern).isNull()
+
+
 def _parsed(configs: DataFrame, text_column: str) -> DataFrame:
     """Each text with ``_rules``, its rules in the order of the text, and ``_problem``.
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.enrichment import enrichment, report
 from tidemark.operators.export import write_report_or_message
@@ -19,7 +20,7 @@ from tidemark.operators.routing import route
 from tidemark.operators.rules import rules_from_json
 from tidemark.operators.summary import route_summary
 from tidemark.presets import DEFAULT_HOURS, DISPLAY_ZONE, MONITORED, RUNTIME_COLUMN, Scope
-from tidemark.sources.activity import opt_out_datasets, read_source, require_rows, union_sources
+from tidemark.sources.activity import opt_out_datasets, read_source, require_rows, table_activity, union_sources
 from tidemark.sources.schemas import (
     ACTIVITY,
     IGNORED_DATASETS,
@@ -29,6 +30,7 @@ from tidemark.sources.schemas import (
     conform,
 )
 from tidemark.sources.staging import read_table, read_violations, replace_table, row_counts
+from tidemark.sources.stored import removed
 
 Sources = Mapping[str, str | DataFrame | Iterable[str | DataFrame]]
 
@@ -43,6 +45,10 @@ class Workspace:
     def activity(self) -> str:
         return f"{self.folder}/table_storage"
 
+    @property
+    def new_activity(self) -> str:
+        return f"{self.folder}/table_storage_new"
+
     @property
     def opted_out(self) -> str:
         return f"{self.folder}/dataset_labels"
@@ -59,6 +65,10 @@ class Workspace:
     def violations(self) -> str:
         return f"{self.folder}/latency_violations"
 
+    @property
+    def routed(self) -> str:
+        return f"{self.folder}/routed_violations"
+
     @property
     def report(self) -> str:
         return f"{self.folder}/report"
@@ -69,10 +79,16 @@ def collect(
 ) -> DataFrame:
     """Stage activity and opted-out datasets of all projects. Returns the rows of each.
 
+    Activity is folded before it is stored: its latest time per table, project and mark.
     No activity at all is an error, and then nothing is replaced.
     """
-    rows = require_rows(union_sources(spark, activity), "table activity")
-    replace_table(rows, work.activity)
+    rows = union_sources(spark, activity)
+    # One row per table, project and mark: nothing later asks for more of the raw rows.
+    names = ("source_project_id", "table_schema", "table_name", "storage_last_modified_time", "deleted")
+    folded = table_activity(rows, *(F.col(name) for name in names))
+    replace_table(folded, work.new_activity)
+    replace_table(require_rows(read_table(spark, work.new_activity), "table activity"), work.activity)
+    removed(spark, work.new_activity)
     replace_table(opt_out_datasets(union_sources(spark, options, OPTIONS)), work.opted_out)
     return row_counts(
         {
@@ -121,7 +137,8 @@ def check(
         source_tables, sources, job_stats, zone, runtime=runtime, tiebreak=tiebreak, only_for=stale
     )
     replace_table(facts, work.facts)
-    replace_table(report(stale, read_table(spark, work.facts), spread=True), work.violations)
+    violations = report(stale, read_table(spark, work.facts), spread=True, ordered=False)
+    replace_table(violations, work.violations)
     return read_violations(spark, work.violations)
 
 
@@ -130,6 +147,7 @@ def publish(
 ) -> DataFrame:
     """Write one report per route and return what each route is told."""
     rules = rules_from_json(spark, routing)
-    routed = route(read_table(spark, work.violations), rules)
+    replace_table(route(read_table(spark, work.violations), rules), work.routed)
+    routed = read_table(spark, work.routed)
     write_report_or_message(routed, work.report, file_format)
     return route_summary(routed, rules)

@@ -78,6 +78,12 @@ LINEITEM_ACTIVITY = (
     "l_shipdate AS storage_last_modified_time",
     "l_quantity > 40 AS deleted",
 )
+# Tables, some without a name.
+UNNAMED_TABLES = (
+    "part",
+    "concat('set_', CAST(p_partkey % 7 AS VARCHAR(20)), '_', CAST(p_partkey AS VARCHAR(20))) AS table_schema",
+    "CASE WHEN p_partkey % 4 <> 0 THEN concat('part_', CAST(p_partkey AS VARCHAR(20))) END AS table_name",
+)
 # More thresholds than a nested loop should take.
 MANY_THRESHOLDS = (
     "supplier",
@@ -87,7 +93,7 @@ MANY_THRESHOLDS = (
     "CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE CAST(s_suppkey % 50 AS INT) * 200 + 1 END AS latency_threshold",
 )
 IGNORED_TABLES = (
-    "nation WHERE n_nationkey < 5",
+    "nation",
     "'daton_acme' AS table_schema",
     "concat('view_', CAST(n_nationkey AS VARCHAR(20))) AS table_name",
 )
@@ -134,7 +140,7 @@ JOB_ENDED = {
 CONFIGS = (
     "customer",
     "c_custkey AS config_id",
-    "CASE c_custkey % 12 "
+    "CASE c_custkey % 14 "
     "WHEN 0 THEN '' "
     "WHEN 1 THEN '{\"a\": \"C1\", \"default\": C0}' "
     "WHEN 2 THEN '[\"C1\"]' "
@@ -146,9 +152,13 @@ CONFIGS = (
     "WHEN 8 THEN '{\"a\": \"C1\", \"b\": \"C2\", \"a\": \"C3, C4,C3\", \"default\": \"C0\"}' "
     "WHEN 9 THEN '{\"default\": \"C' || c_nationkey || '\", \" default \": \"C1 ,C2\"}' "
     "WHEN 10 THEN '{\"x\": \"C1\", \"default\": \"C0\"} tail' "
+    "WHEN 11 THEN '{\"(\": \"C1\", \"default\": \"C0\"}' "
+    "WHEN 12 THEN '{\"a\": \"C1\", \"[z-a]\": \"C2\", \"default\": \"C0\"}' "
     "ELSE '{\"' || c_custkey || '|' || c_mktsegment || '\": \" C' || c_nationkey || ', C1,C1 \", "
     "\"default\": \"C0, C' || c_nationkey || '\"}' END AS config",
 )
+# Patterns of these configs that are no regular expressions.
+BAD_PATTERNS = ("(", "[z-a]")
 RECORD_IDS = (
     "events",
     "event_id",

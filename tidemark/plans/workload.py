@@ -17,7 +17,8 @@ from tidemark.functions.time import second_text
 from tidemark.operators.routing import has_id
 from tidemark.plans import daily
 from tidemark.plans import fixtures as fx
-from tidemark.sources.schemas import ACTIVITY
+from tidemark.sources.activity import file_rows
+from tidemark.sources.schemas import ACTIVITY, OPTIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,6 +183,7 @@ _NEWEST = "ORDER BY batch_runtime DESC, event_id DESC) = 1"
 _RELATIONS = {
     "activity": fx.relation_sql(fx.ACTIVITY),
     "shared_activity": fx.relation_sql(fx.SHARED_ACTIVITY),
+    "unnamed": fx.relation_sql(fx.UNNAMED_TABLES),
     "lineitem_activity": fx.relation_sql(fx.LINEITEM_ACTIVITY),
     "ignored_tables": fx.relation_sql(fx.IGNORED_TABLES),
     "source_tables": fx.relation_sql(fx.SOURCE_TABLES),
@@ -233,7 +235,8 @@ _RELATIONS = {
     "(SELECT 1 FROM config_rules r WHERE r.config_id = k.config_id AND r.is_default) UNION ALL "
     "SELECT * FROM (SELECT config_id, rule_no, pattern, CASE WHEN NOT is_default AND pattern = '' THEN 'empty_pattern' "
     "WHEN kind = 'NULL' THEN 'null_value' WHEN kind <> 'VARCHAR' THEN 'not_a_string' WHEN len(channels) = 0 "
-    "THEN 'no_channel' END AS problem FROM config_rules) WHERE problem IS NOT NULL",
+    f"THEN 'no_channel' WHEN pattern IN ({_list(fx.BAD_PATTERNS)}) THEN 'bad_regex' END AS problem FROM config_rules) "
+    "WHERE problem IS NOT NULL",
 }
 _WITH = "WITH " + ", ".join(f"{name} AS ({sql})" for name, sql in _RELATIONS.items()) + " "
 
@@ -283,6 +286,15 @@ def _rules(spark: SparkSession) -> DataFrame:
     return td.rules_from_json(spark, fx.ROUTING)
 
 
+def _many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.relation(spark, sf_dir, fx.MANY_RULES).select(
+        "rule_no",
+        "pattern",
+        F.array(F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))).alias("channels"),
+        F.lit(False).alias("is_default"),
+    )
+
+
 def _configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.relation(spark, sf_dir, fx.CONFIGS)
 
@@ -369,9 +381,42 @@ def staging_counts(spark, sf_dir):
     )
 
 
-@_register()
+# File times differ per machine; that there is one, and for which tables, does not.
+_FILES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
+@_register(
+    " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS has_time FROM {name}" for name in _FILES)
+)
 def file_freshness(spark, sf_dir):
-    return _modified(td.file_activity(spark, [sf_dir]))
+    paths = [f"{sf_dir}/{name}.parquet" for name in _FILES]
+    rows = file_rows(spark, paths).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+    times = td.file_activity(spark, paths, "files").groupBy("table_name").agg(
+        F.count("storage_last_modified_time").alias("times")
+    )
+    return rows.join(times, "table_name").select("table_name", "row_count", (F.col("times") > 0).alias("has_time"))
+
+
+@_register("SELECT table_schema, table_name FROM stale")
+def empty_options(spark, sf_dir):
+    """No dataset opts out: the staged list is empty, and nothing is excluded by it."""
+    target = td.scratch_folder(spark)
+    td.replace_table(td.opt_out_datasets(spark.createDataFrame([], OPTIONS)), target)
+    stale = td.evaluate(
+        _activity(spark, sf_dir),
+        fx.thresholds(spark),
+        td.read_table(spark, target),
+        _ignored_tables(spark, sf_dir),
+        as_of=fx.AS_OF,
+        scope=fx.SCOPE,
+    )
+    return stale.select("table_schema", "table_name")
+
+
+@_register(f"SELECT table_schema, table_name FROM ({_stale('matched', '2026-01-01 00:00:00')})")
+def stale_tables_now(spark, sf_dir):
+    """As of now. All times are years old, so the tables are the same at any later time."""
+    return _stale_tables(spark, sf_dir, as_of=None).select("table_schema", "table_name")
 
 
 # ---------------------------------------------------------------- evaluation
@@ -439,6 +484,17 @@ def threshold_match_many(spark, sf_dir):
     return matched.select("table_schema", "table_name", "table_pattern", "latency_threshold")
 
 
+@_register(
+    "SELECT table_schema, table_name, table_pattern, latency_threshold FROM "
+    f"({_matched('unnamed', 'many_thresholds')})"
+)
+def threshold_match_many_unnamed(spark, sf_dir):
+    """Many patterns, and tables without a name: those fit nothing and stay."""
+    tables = fx.relation(spark, sf_dir, fx.UNNAMED_TABLES)
+    matched = td.match_thresholds(tables, fx.relation(spark, sf_dir, fx.MANY_THRESHOLDS))
+    return matched.select("table_schema", "table_name", "table_pattern", "latency_threshold")
+
+
 @_register(
     "SELECT table_schema, table_name FROM live l WHERE NOT EXISTS "
     "(SELECT 1 FROM opted_out o WHERE o.schema_name = l.table_schema)"
@@ -577,7 +633,8 @@ def bad_rules(spark, sf_dir):
 
 
 @_register(
-    "SELECT c.config_id, coalesce(array_to_string(r.channels, ','), 'C065MG2L63U') AS channels FROM configs c "
+    "SELECT c.config_id, coalesce(array_to_string(r.channels, ','), "
+    f"{_quoted(','.join(P.FALLBACK_CHANNELS))}) AS channels FROM configs c "
     "LEFT JOIN (SELECT * FROM config_rules WHERE is_default AND config_id NOT IN "
     "(SELECT config_id FROM config_problems)) r ON r.config_id = c.config_id"
 )
@@ -613,14 +670,27 @@ def route_records_deduped(spark, sf_dir):
     "ON regexp_matches(table_name, pattern)"
 )
 def route_records_many_rules(spark, sf_dir):
-    rules = fx.relation(spark, sf_dir, fx.MANY_RULES).select(
-        "rule_no",
-        "pattern",
-        F.array(F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))).alias("channels"),
-        F.lit(False).alias("is_default"),
+    tables = _live_tables(spark, sf_dir).select("table_schema", "table_name")
+    routed = td.route(tables, _many_rules(spark, sf_dir), id_columns=["table_name"], fallback_channels=["C0"])
+    return routed.select("table_schema", "table_name", "route")
+
+
+@_register(
+    "SELECT table_schema, table_name, 'default:D' || d AS route FROM live, range(2) t(d) UNION ALL "
+    "SELECT table_schema, table_name, 'match:N' || s_nationkey FROM live JOIN many_rules "
+    "ON regexp_matches(table_name, pattern)"
+)
+def route_records_many_defaults(spark, sf_dir):
+    """Many rules, two of them defaults: each record reaches both."""
+    rules = _many_rules(spark, sf_dir)
+    defaults = spark.range(2).select(
+        F.lit(0).alias("rule_no"),
+        F.lit(None).cast("string").alias("pattern"),
+        F.array(F.concat(F.lit("D"), F.col("id").cast("string"))).alias("channels"),
+        F.lit(True).alias("is_default"),
     )
     tables = _live_tables(spark, sf_dir).select("table_schema", "table_name")
-    routed = td.route(tables, rules, id_columns=["table_name"], fallback_channels=["C0"])
+    routed = td.route(tables, rules.unionByName(defaults), id_columns=["table_name"])
     return routed.select("table_schema", "table_name", "route")
 
 
@@ -730,8 +800,7 @@ def violations_roundtrip(spark, sf_dir):
     return _stale_text(td.read_violations(spark, target))
 
 
-@_register(_route_summary("routed_report"))
-def daily_run(spark, sf_dir):
+def _run_day(spark: SparkSession, sf_dir: str) -> tuple[daily.Workspace, DataFrame]:
     work = daily.Workspace(td.scratch_folder(spark))
     rows = _activity(spark, sf_dir)
     activity = {
@@ -751,7 +820,22 @@ def daily_run(spark, sf_dir):
         scope=fx.SCOPE,
         **_ORDER,
     )
-    return _channels(daily.publish(spark, work, fx.ROUTING))
+    return work, daily.publish(spark, work, fx.ROUTING)
+
+
+@_register(_route_summary("routed_report"))
+def daily_run(spark, sf_dir):
+    return _channels(_run_day(spark, sf_dir)[1])
+
+
+@_register(
+    "SELECT route, table_schema, table_name, CAST(latency_threshold AS BIGINT) AS latency_threshold FROM routed_report"
+)
+def report_files(spark, sf_dir):
+    """What the daily run wrote for each route, read back from the files."""
+    work, _ = _run_day(spark, sf_dir)
+    rows = spark.read.parquet(work.report)
+    return rows.select("route", "table_schema", "table_name", F.col("latency_threshold").cast("bigint").alias("latency_threshold"))
 
 
 # ---------------------------------------------------------------- errors
@@ -770,7 +854,7 @@ def _error_columns(message: str, whole: str) -> str:
 
 
 @_register(
-    f"SELECT event_id, {_error_columns('message', chr(39) + chr(39) + ' || kind || ' + _quoted(': ') + ' || message')}, "
+    f"SELECT event_id, {_error_columns('message', "kind || ': ' || message")}, "
     f"CASE WHEN task <> '' THEN task WHEN {_holds('message', ['bigquery'])} THEN 'run_latency_check' "
     f"WHEN {_holds('message', ['slack'])} THEN 'convert_and_send_to_slack' ELSE 'unknown' END AS failed_task, "
     "left(message, 500) AS short_message FROM job_log"

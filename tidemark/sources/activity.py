@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -37,22 +38,41 @@ def table_activity(
     ).agg(F.max(modified).alias("storage_last_modified_time")).select(*ACTIVITY.fieldNames())
 
 
-def file_activity(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Activity taken from files: name and modification time of each, without reading them.
+_TABLE_FOLDER = r"(/[^/=]+=[^/]*)*/part-[^/]*$"
 
-    The listing is enough: the content column is not selected, so no file is opened.
+
+def file_rows(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """A row for each row of Parquet files, with its table, dataset and the file's time; no column is read.
+
+    The table is the folder of a file that Spark wrote, without folders of partitions; any other
+    file is a table of its own. The dataset is the folder above.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-    return files.select(
-        F.col("path").alias("file_path"),
-        F.element_at(F.split("path", "/"), -2).alias("table_schema"),
-        F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "").alias("table_name"),
-        F.col("modificationTime").alias("storage_last_modified_time"),
+    rows = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*paths)
+    table = F.regexp_replace(F.col("_metadata.file_path"), _TABLE_FOLDER, "")
+    steps = F.split(table, "/")
+    return rows.select(
+        F.element_at(steps, -2).alias("table_schema"),
+        F.regexp_replace(F.element_at(steps, -1), r"\.[^.]*$", "").alias("table_name"),
+        F.col("_metadata.file_modification_time").alias("storage_last_modified_time"),
     )
 
 
-def _open(spark: SparkSession, source: str | DataFrame) -> DataFrame | None:
-    """A DataFrame, path or catalog table as a DataFrame; None if there is no such thing."""
+def file_activity(spark: SparkSession, paths: Iterable[str], project: str) -> DataFrame:
+    """Activity taken from Parquet files: for each table the time its newest file was changed."""
+    return table_activity(
+        file_rows(spark, paths),
+        F.lit(project),
+        F.col("table_schema"),
+        F.col("table_name"),
+        F.col("storage_last_modified_time"),
+    )
+
+
+def _open(spark: SparkSession, source: str | DataFrame, schema: T.StructType) -> DataFrame | None:
+    """A DataFrame, path or catalog table as a DataFrame; None if there is no such thing.
+
+    A folder without files has the schema and no rows.
+    """
     if isinstance(source, DataFrame):
         return source
     try:
@@ -62,12 +82,14 @@ def _open(spark: SparkSession, source: str | DataFrame) -> DataFrame | None:
     except AnalysisException as error:
         if error.getCondition() in _MISSING:
             return None
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return spark.createDataFrame([], schema)
         raise
 
 
 def read_source(spark: SparkSession, source: str | DataFrame, schema: T.StructType) -> DataFrame:
     """One input table, its columns checked. Raises FileNotFoundError if there is none."""
-    df = _open(spark, source)
+    df = _open(spark, source, schema)
     if df is None:
         raise FileNotFoundError(source)
     return conform(df, schema)
@@ -87,7 +109,7 @@ def union_sources(
     """Activity of many projects as one relation, each row tagged with its project.
 
     ``sources`` maps a project to one source or to several (one per region). A source
-    that does not exist is left out, or with ``on_missing="error"`` raises
+    that does not exist is left out with a warning, or with ``on_missing="error"`` raises
     FileNotFoundError. With no source left the result has the schema and no rows.
     """
     if on_missing not in ("skip", "error"):
@@ -97,10 +119,11 @@ def union_sources(
     frames = []
     for project, given in sources.items():
         for source in [given] if isinstance(given, (str, DataFrame)) else given:
-            df = _open(spark, source)
+            df = _open(spark, source, own)
             if df is None:
                 if on_missing == "error":
                     raise FileNotFoundError(source)
+                warnings.warn(f"no source {source} of {project}", stacklevel=2)
                 continue
             df = conform(df, own)
             if tagged:

@@ -36,6 +36,12 @@ JOB_STATS = _struct(
     lastendtime=_TEXT, **{RUNTIME_COLUMN: _TIME},
 )
 
+
+def with_runtime(schema: T.StructType, runtime: str) -> T.StructType:
+    """The schema of a history whose runtime column has another name."""
+    return T.StructType([T.StructField(runtime if f.name == RUNTIME_COLUMN else f.name, f.dataType) for f in schema])
+
+
 _FAMILIES = (
     (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
     (T.StringType, T.CharType, T.VarcharType),

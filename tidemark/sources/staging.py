@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,17 +43,3 @@ def row_counts(inputs: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("input"), "row_count")
         for name, df in inputs.items()
     )
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name for intermediate tables, in the folder the cluster shares.
-
-    That is ``spark.checkpoint.dir``. Where it is not set, a folder of this machine
-    is used if Spark runs on this machine only.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
