@@ -139,3 +139,17 @@ def test_ties_are_settled_the_same_way_whatever_the_order(spark):
         for n in (1, 3, 8)
     }
     assert len(picked) == 1
+
+
+def test_a_wrong_type_in_a_history_is_an_error(spark, sf_dir):
+    from tidemark.plans import fixtures as fx
+
+    tables, sources, stats = (fx.relation(spark, sf_dir, d) for d in (fx.SOURCE_TABLES, fx.SOURCES, fx.JOB_STATS))
+    options = {"runtime": "batch_runtime", "tiebreak": ["event_id"]}
+    for broken in (
+        (tables.withColumn("status", F.lit("2")), sources, stats),
+        (tables, sources.withColumn("name", F.lit(1)), stats),
+        (tables, sources, stats.withColumn("lasterrorcode", F.lit("x"))),
+    ):
+        with pytest.raises(TypeError):
+            td.enrichment(*broken, **options)

@@ -22,11 +22,11 @@ def sides(spark):
     return left, right
 
 
-@pytest.mark.parametrize("parts", [1, 7, 32])
-def test_equals_a_left_join(sides, parts):
+@pytest.mark.parametrize("rows_per_part", [1, 7, 100, 10_000])
+def test_equals_a_left_join(sides, rows_per_part):
     left, right = sides
     expected = Counter(map(tuple, left.join(right, "k", "left").select("k", "a", "b").collect()))
-    got = spread_left_join(left, right, ["k"], parts)
+    got = spread_left_join(left, right, ["k"], rows_per_part)
     assert got.columns == ["k", "a", "b"]
     assert Counter(map(tuple, got.collect())) == expected
 
@@ -39,4 +39,15 @@ def test_a_heavy_key_is_in_many_tasks(conf, sides):
         return df.filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
 
     assert tasks(left.hint("merge").join(right, "k", "left")) == 1
-    assert tasks(spread_left_join(left, right, ["k"])) > 4
+    assert tasks(spread_left_join(left, right, ["k"], 10)) > 4
+
+
+def test_equal_rows_under_one_key_are_dealt_out(spark, conf):
+    """Facts that do not differ at all reach more than half of the parts."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    left = spark.createDataFrame([("orders",), ("other",)], "k string")
+    right = spark.range(1000).select(F.lit("orders").alias("k"), F.lit("same").alias("fact"))
+    joined = spread_left_join(left, right, ["k"], 10)
+    assert Counter(map(tuple, joined.collect())) == {("orders", "same"): 1000, ("other", None): 1}
+    tasks = joined.filter("k = 'orders'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 4  # of 8

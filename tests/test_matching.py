@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import tidemark as td
 
 FIXED_PATTERNS = [
@@ -80,3 +82,30 @@ def test_regex_join_equals_brute_force(spark, nested_loop_rules):
     )
     expected = sorted((i, n) for i in ids for n, p in rules if re.search(p, i))
     assert sorted((r.id, r.rule_no) for r in matched.collect()) == expected
+
+
+def test_tables_without_a_name_stay_however_many_rules(spark):
+    tables = spark.createDataFrame([("d", None), ("d", "orders_1"), (None, "orders_1"), ("d", "")], "table_schema string, table_name string")
+    rules = spark.createDataFrame([("orders%", 5), ("%", 9), ("___", 1), ("%_1", 2)], "table_pattern string, latency_threshold int")
+    found = [
+        sorted(map(tuple, td.match_thresholds(tables, rules, n).collect()), key=str) for n in (0, 1, 64)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert ("d", None, None, None) in found[0] and len(found[0]) == 8
+
+
+def test_regexes_meet_the_same_ids_however_many_rules(spark):
+    ids = spark.createDataFrame([("acme",), ("acme",), ("daton_x",), ("zz",), (None,), ("",)], "name string")
+    patterns = ["acme|zz", "^a", "x$", "a.me", "(daton|zz)", "q", "acme|zz", "zz$|^acme$"]
+    rules = spark.createDataFrame(list(enumerate(patterns)), "rule_no int, pattern string")
+    found = [sorted(map(tuple, td.match_regex(ids, rules, "name", n).collect())) for n in (0, 1, 64)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 16
+
+
+def test_a_piece_in_a_third_of_all_names(spark):
+    name = F.when(F.col("id") % 3 == 0, F.concat(F.lit("hot_"), "id")).otherwise(F.concat(F.lit("t"), "id"))
+    tables = spark.range(3000).select(F.lit("d").alias("table_schema"), name.alias("table_name"))
+    rules = spark.range(100).select(F.concat(F.lit("hot%"), "id").alias("table_pattern"), F.lit(1).alias("latency_threshold"))
+    got = td.match_thresholds(tables, rules, 8).filter("table_pattern is not null")
+    names = [f"hot_{i}" for i in range(0, 3000, 3)]
+    assert got.count() == sum(n.endswith(str(k)) for n in names for k in range(100))

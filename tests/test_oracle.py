@@ -4,6 +4,7 @@ import pytest
 from compare import oracle, oracle_rows, spark_rows
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidemark.plans.workload import ENTRIES
 
 ORACLE = oracle_sql()
 
@@ -13,7 +14,7 @@ def db(sf_dir):
     return oracle(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(ENTRIES))
 def test_query(spark, sf_dir, db, name):
     names, rows = spark_rows(queries()[name](spark, sf_dir))
     assert rows

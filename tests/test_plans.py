@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 import tidemark as td
 from tidemark.plans import fixtures as fx
 from tidemark.plans import workload
-from __spark_entry__ import queries
 
 
 def plan(df) -> str:
@@ -47,7 +46,7 @@ def test_scan_reads_the_needed_columns_and_gets_the_filter(stale):
 
 @pytest.mark.parametrize("key", ["latest_source_tables", "latest_sources", "latest_job_stats"])
 def test_latest_rows_are_picked_before_the_shuffle(spark, sf_dir, key):
-    text = plan(queries()[key](spark, sf_dir))
+    text = plan(workload.ENTRIES[key].query(spark, sf_dir))
     below = text[text.index("Exchange hashpartitioning"):]
     assert "WindowGroupLimit" in below and "Partial" in below
 
@@ -58,6 +57,13 @@ def test_long_rule_list_joins_on_a_key(spark, sf_dir):
     assert "NestedLoop" not in text and "CartesianProduct" not in text
 
 
+def test_long_threshold_list_scans_the_rules_once(spark, sf_dir, tmp_path):
+    """The prepared rules are stored: the plan holds no scan of where they come from."""
+    tables = td.live_tables(fx.relation(spark, sf_dir, fx.LINEITEM_ACTIVITY), fx.SCOPE)
+    text = plan(td.match_thresholds(tables, fx.relation(spark, sf_dir, fx.MANY_THRESHOLDS), 8))
+    assert "supplier.parquet" not in text and "Window" not in text
+
+
 def test_long_regex_list_joins_on_a_key(spark, sf_dir):
     rules = fx.relation(spark, sf_dir, fx.MANY_RULES)
     ids = spark.range(10).select(F.col("id").cast("string").alias("name"))
@@ -65,17 +71,20 @@ def test_long_regex_list_joins_on_a_key(spark, sf_dir):
     assert "NestedLoop" not in text and "CartesianProduct" not in text
 
 
-def test_routing_reads_the_records_once(spark, sf_dir):
+def test_routing_reads_no_more_than_the_id_for_the_patterns(spark, sf_dir):
+    """Patterns meet distinct ids; the rest of a record is read once, for the result."""
     rules = td.rules_from_json(spark, fx.ROUTING)
-    records = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("source").alias("table_schema"))
-    assert plan(td.route(records, rules)).count("FileScan") == 1
+    records = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumnRenamed("source", "table_schema")
+    text = plan(td.route(records, rules))
+    assert text.count("ReadSchema: struct<source:string>") == 1
+    assert text.count("text:string") == 1 and "NestedLoop" not in text and "Cartesian" not in text
 
 
 def test_no_python_in_any_plan(spark, sf_dir):
-    for name, query in queries().items():
+    for name, entry in workload.ENTRIES.items():
         if name in ("daily_run", "violations_roundtrip"):  # they read back what they stored
             continue
-        text = plan(query(spark, sf_dir))
+        text = plan(entry.query(spark, sf_dir))
         for word in ("Python", "Pandas", "Arrow"):
             assert word not in text, name
 

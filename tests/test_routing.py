@@ -16,7 +16,7 @@ def routes(spark, names, column="table_schema", **options):
     return Counter((r[column], r.route) for r in routed.collect())
 
 
-@pytest.mark.parametrize("nested_loop_rules", [64, 3])
+@pytest.mark.parametrize("nested_loop_rules", [64, 3, 1, 0])
 def test_routes(spark, nested_loop_rules):
     names = ["daton_acme", "nexus", "AcmeZ", "zz", "d", "none", "", None]
     found = routes(spark, names, nested_loop_rules=nested_loop_rules)
@@ -27,7 +27,7 @@ def test_routes(spark, nested_loop_rules):
     assert found == expected
 
 
-@pytest.mark.parametrize("nested_loop_rules", [64, 3])
+@pytest.mark.parametrize("nested_loop_rules", [64, 3, 1, 0])
 def test_dedupe_lists_a_record_once_per_route(spark, nested_loop_rules):
     found = routes(spark, ["daton_acme", "daton_acme"], dedupe=True, nested_loop_rules=nested_loop_rules)
     assert found == {("daton_acme", "default:D0"): 2, ("daton_acme", "match:C1"): 2}
@@ -78,3 +78,24 @@ def test_nothing_stale_leaves_the_default_route_all_clear(spark):
     (row,) = td.route_summary(td.route(records, rules), rules).collect()
     assert (row.route, row.violations, row.template) == ("default:D0", 0, "latency_report_no_violations")
     assert row.summary_text.startswith("✅ No latency violations")
+
+
+@pytest.mark.parametrize("nested_loop_rules", [64, 1, 0])
+def test_all_defaults_apply(spark, nested_loop_rules):
+    rules = spark.createDataFrame(
+        [(1, "acme", ["A"], False), (2, None, ["D1"], True), (3, None, ["D2"], True)],
+        "rule_no int, pattern string, channels array<string>, is_default boolean",
+    )
+    records = spark.createDataFrame([("acme",), ("other",)], "table_schema string")
+    got = Counter((r.table_schema, r.route) for r in td.route(records, rules, nested_loop_rules=nested_loop_rules).collect())
+    assert got == {
+        ("acme", "match:A"): 1, ("acme", "default:D1"): 1, ("acme", "default:D2"): 1,
+        ("other", "default:D1"): 1, ("other", "default:D2"): 1,
+    }
+
+
+def test_no_default_and_no_fallback_is_an_error(spark):
+    rules = td.rules_from_json(spark, TEXT).filter(~F.col("is_default"))
+    records = spark.createDataFrame([("acme",)], "table_schema string")
+    with pytest.raises(ValueError, match="default"):
+        td.route(records, rules)

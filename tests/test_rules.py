@@ -3,6 +3,7 @@
 import pytest
 
 import tidemark as td
+from tidemark import presets as P
 
 BAD = [
     ("", "empty_text"),
@@ -63,9 +64,9 @@ def rules(spark, text):
 
 
 def test_rules(spark):
-    text = ' {"3642|nexus": " C1 ,C2,\\tC1", "default": "C0,C9,C0", "b": "C3"} '
+    text = ' {"77|nexus": " C1 ,C2,\\tC1", "default": "C0,C9,C0", "b": "C3"} '
     assert rules(spark, text) == [
-        (1, "3642|nexus", ["C1", "C2", "C1"], False),
+        (1, "77|nexus", ["C1", "C2", "C1"], False),
         (2, None, ["C0", "C9", "C0"], True),
         (3, "b", ["C3"], False),
     ]
@@ -90,4 +91,17 @@ def test_many_configs_at_once(spark):
     )
     assert sorted((r.id, r.rule_no) for r in td.parse_rules(configs).collect()) == [(1, 1), (3, 1), (3, 2)]
     got = {r.id: r.channels for r in td.failure_channels(configs).collect()}
-    assert got == {1: ["A"], 2: ["C065MG2L63U"], 3: ["C", "D"]}
+    assert got == {1: ["A"], 2: list(P.FALLBACK_CHANNELS), 3: ["C", "D"]}
+
+
+def test_bad_patterns_are_found_in_many_configs(spark):
+    configs = spark.createDataFrame(
+        [(1, '{"(": "C1", "default": "C0"}'), (2, '{"a|b": "C1", "[z-a]": "C2", "default": "C0"}'), (3, '{"a": "C1", "default": "C9"}')],
+        "id int, config string",
+    )
+    got = sorted((r.id, r.rule_no, r.problem) for r in td.check_rules(configs).collect())
+    assert got == [(1, 1, "bad_regex"), (2, 2, "bad_regex")]
+    assert {r.id for r in td.parse_rules(configs).collect()} == {3}
+    assert {r.id: r.channels for r in td.failure_channels(configs).collect()} == {
+        1: list(P.FALLBACK_CHANNELS), 2: list(P.FALLBACK_CHANNELS), 3: ["C9"],
+    }

@@ -98,16 +98,32 @@ def test_table_activity_keeps_deleted_rows_apart(spark):
 
 
 def test_file_activity(spark, tmp_path):
+    """A folder that Spark wrote is one table, however many files and partitions; a single file is one, too."""
     import os
 
-    for i, name in enumerate(["one.csv", "sub/two.json"]):
-        path = tmp_path / "data" / name
-        path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_text("x" * 100)
-        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
-    found = td.file_activity(spark, [str(tmp_path / "data")])
-    got = {(r.table_schema, r.table_name, r.s) for r in found.withColumn("s", F.unix_seconds("storage_last_modified_time")).collect()}
-    assert got == {("data", "one", 1_700_000_000), ("sub", "two", 1_700_000_001)}
+    folder = str(tmp_path / "sales/orders")
+    spark.range(100).repartition(4).write.parquet(folder)
+    spark.range(10).withColumn("day", F.col("id") % 2).write.partitionBy("day").parquet(str(tmp_path / "sales/items"))
+    (part,) = [p for p in (tmp_path / "sales/orders").glob("part-*")][:1]
+    single = tmp_path / "sales/single.parquet"
+    single.write_bytes(part.read_bytes())
+    for i, path in enumerate(sorted(tmp_path.rglob("*.parquet"))):
+        if path.is_file():
+            os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    newest = max(int(p.stat().st_mtime) for p in (tmp_path / "sales/orders").glob("part-*"))
+    found = td.file_activity(spark, [str(tmp_path / "sales")], "p")
+    got = {(r.source_project_id, r.table_schema, r.table_name, r.deleted): r.s for r in found.withColumn("s", F.unix_seconds("storage_last_modified_time")).collect()}
+    assert set(got) == {("p", "sales", name, False) for name in ("orders", "items", "single")}
+    assert got["p", "sales", "orders", False] == newest
+    # and it is a source like any other
+    own = found.drop("source_project_id")
+    assert td.union_sources(spark, {"p": own}).count() == 3
+
+
+def test_an_existing_folder_without_files_has_no_rows(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    got = td.union_sources(spark, {"p": str(tmp_path / "empty")})
+    assert got.isEmpty() and "deleted" in got.columns
 
 
 def test_replace_and_read_back(spark, region, tmp_path):

@@ -239,17 +239,7 @@ def _found_pairs(ids: DataFrame, patterns: DataFrame, id_column: str) -> DataFra
     # The first three letters of each alternative; all ids that hold the alternative hold them.
     literal = F.transform(F.split("pattern", "[|]"), lambda x: F.substring(F.regexp_replace(x, "[$^]", ""), 1, _LONGEST_PIECE))
     keyed = plain.select("pattern", F.explode(F.array_distinct(literal)).alias("_key"))
-    pieces = F.flatten(
-        F.array(
-            *(
-                F.when(
-                    F.length(value) >= size,
-                    F.transform(F.sequence(F.lit(1), F.length(value) - size + 1), lambda at, n=size: F.substr(value, at, F.lit(n))),
-                ).otherwise(F.array().cast("array<string>"))
-                for size in range(1, _LONGEST_PIECE + 1)
-            )
-        )
-    )
+    pieces = F.transform(_pieces(value, F.lit(0)), lambda p: p["piece"])
     by_text = texts.withColumn("_key", F.explode(F.array_distinct(pieces))).join(keyed, "_key")
     by_text = by_text.select(id_column, "pattern").distinct().filter(F.rlike(value, F.col("pattern")))
     other = patterns.filter(~F.col("pattern").rlike(_PLAIN))
