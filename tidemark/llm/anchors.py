@@ -9,33 +9,26 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidemark.llm.shingles import mix
+from tidemark.llm.shingles import grown, mix
 
 _FACTOR = 0xD1342543DE82EF95
 _powers = np.ones(1, np.uint64)
-
-
-def _power_table(size: int) -> np.ndarray:
-    global _powers
-    while len(_powers) < size:
-        step = np.uint64(pow(_FACTOR, len(_powers), 1 << 64))
-        _powers = np.concatenate([_powers, _powers * step])
-    return _powers
+_inverse = np.ones(1, np.uint64)
 
 
 class Prefixes:
     """Hashes of any piece of a byte array, from one running sum."""
 
     def __init__(self, data: np.ndarray) -> None:
-        powers = _power_table(len(data) + 1)
-        self.size = len(data)
+        global _powers, _inverse
+        _powers = grown(_powers, _FACTOR, len(data) + 1)
+        _inverse = grown(_inverse, pow(_FACTOR, -1, 1 << 64), len(data) + 1)
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(mix(data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=self._sums[1:])
+        np.cumsum(mix(data.astype(np.uint64) + np.uint64(1)) * _powers[: len(data)], out=self._sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-        """Hashes of data[start:end]: equal for equal pieces, wherever they lie."""
-        # times the factor to the power of what is left makes the place drop out
-        plain = (self._sums[ends] - self._sums[starts]) * _powers[self.size - starts]
+        """Hashes of data[start:end]: equal for equal pieces, in whatever array and wherever they lie."""
+        plain = (self._sums[ends] - self._sums[starts]) * _inverse[starts]
         return mix(plain ^ np.uint64(seed)) ^ (ends - starts).astype(np.uint64)
 
 

@@ -18,7 +18,7 @@ _powers = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)
 
 
-def _grown(table: np.ndarray, factor: int, size: int) -> np.ndarray:
+def grown(table: np.ndarray, factor: int, size: int) -> np.ndarray:
     """The powers 0..size-1 of an odd factor modulo 2**64."""
     while len(table) < size:
         step = np.uint64(pow(factor, len(table), 1 << 64))
@@ -41,8 +41,8 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     (one entry more than texts). Letters A-Z count as a-z.
     """
     global _powers, _inverse
-    _powers = _grown(_powers, _FACTOR, len(data) + 1)
-    _inverse = _grown(_inverse, pow(_FACTOR, -1, 1 << 64), len(data) + 1)
+    _powers = grown(_powers, _FACTOR, len(data) + 1)
+    _inverse = grown(_inverse, pow(_FACTOR, -1, 1 << 64), len(data) + 1)
     inside = ~_IS_SPACE[data]
     edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -91,10 +91,10 @@ def _sets(texts: list[bytes], width: int) -> list[np.ndarray]:
             own = np.sort(rolled[a : b - width + 1])
             sets.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif b > a:
-            short = np.uint64(b - a)
+            short = np.array([b - a], np.uint64)
             for w in words[a:b]:
-                short = short * factor + w
-            sets.append(mix(np.array([short], np.uint64)))
+                short = short * factor + w  # wraps around, as it should
+            sets.append(mix(short))
         else:
             sets.append(np.empty(0, np.uint64))
     return sets
