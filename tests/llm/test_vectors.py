@@ -1,0 +1,77 @@
+"""Near copies and top-k among vectors against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.neardup_vectors import near_vectors
+from tidemark.llm.topk import sound_vectors, top_k
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def vectors():
+    rng = np.random.default_rng(2)
+    rows = [rng.standard_normal(16) for _ in range(60)]
+    for size, noise in ((2, 0.05), (3, 0.1), (30, 0.12), (50, 0.2)):
+        middle = rng.standard_normal(16)
+        rows += [middle + noise * rng.standard_normal(16) for _ in range(size)]
+    rows += [rows[0]] * 40  # copies
+    rows = [np.float32(x).tolist() for x in rows]
+    odd = [None, [], [0.0] * 16, [1.0] * 15 + [float("nan")], [float("inf")] + [0.0] * 15, [None] + [1.0] * 15, [1.0, 2.0]]
+    return list(enumerate(rows + odd))
+
+
+def cosine(a, b):
+    return sum(x * y for x, y in zip(a, b, strict=True)) / math.sqrt(sum(x * x for x in a) * sum(x * x for x in b))
+
+
+def is_sound(v):
+    return bool(v) and all(x is not None and math.isfinite(x) for x in v)
+
+
+def test_near_vectors(spark, tmp_path):
+    rows = vectors()
+    usable = {i: v for i, v in rows if is_sound(v) and any(v)}
+    links = {i: {j for j, w in usable.items() if j != i and len(v) == len(w) and cosine(v, w) >= 0.95} for i, v in usable.items()}
+    expected = {}
+    for i, _ in rows:
+        reach, todo = {i}, [i]
+        while todo:
+            todo += [j for j in links.get(todo.pop(), ()) if j not in reach and not reach.add(j)]
+        expected[i] = (len(links.get(i, ())), min(reach), min(reach) == i)
+    df = spark.createDataFrame([(i, v, i % 3) for i, v in rows], SCHEMA).withColumn("v", F.lit(1)).withColumn("rep", F.lit(2))
+    got = {r.vec_id: tuple(r)[1:] for r in near_vectors(df, str(tmp_path), block=32, chunk=8).collect()}
+    assert got == expected
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_top_k(spark, tmp_path, block):
+    rows = vectors()
+    whole = {i: [math.floor(1024 * float(x)) for x in v] for i, v in rows if is_sound(v)}
+    df = sound_vectors(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA))
+    df = df.select("vec_id", F.transform("v", lambda x: F.floor(1024 * x.cast("double")).cast("double")).alias("v"))
+    got = {}
+    for r in top_k(df, df.where("vec_id % 10 = 0"), 5, str(tmp_path), block=block).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q, v in whole.items():
+        if q % 10 == 0:
+            scores = [(-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in whole.items() if j != q and len(w) == len(v)]
+            best = [(k, j, -s) for k, (s, j) in enumerate(sorted(scores)[:5], 1)]
+            assert sorted(got.get(q, [])) == best
+
+
+def test_few_and_no_vectors(spark, tmp_path):
+    one = sound_vectors(spark.createDataFrame([(0, [1.0, 2.0], 0)], SCHEMA))
+    assert top_k(one, one, 10, str(tmp_path / "a")).collect() == []
+    none = spark.createDataFrame([], SCHEMA)
+    assert top_k(sound_vectors(none), sound_vectors(none), 10, str(tmp_path / "b")).collect() == []
+    assert near_vectors(none, str(tmp_path / "c")).collect() == []
+
+
+def test_repeated_ids(spark, tmp_path):
+    rows = [(5, [1.0, 0.0], 0), (5, [1.0, 0.0], 0), (7, [0.0, 1.0], 0)]
+    found = sorted(map(tuple, near_vectors(spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()))
+    assert found == [(5, 1, 5, True), (5, 1, 5, True), (7, 0, 7, True)]

@@ -132,20 +132,20 @@ def deletions(documents: DataFrame, folder: str, rare: int = 100) -> DataFrame:
 def without_lines(documents: DataFrame, folder: str, rare: int = 100) -> DataFrame:
     """The documents with _n_lines, _n_removed and _kept, the text that is left (null: none is).
 
-    Columns of these names must not be there already.
+    Columns whose names begin with an underscore must not be there already.
     """
     gone = stored(deletions(documents, folder, rare), f"{folder}/gone")
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "gone")
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.col("gone").alias("_gone"))
     rows = documents.withColumn("_hash_own", F.xxhash64("text"))
     met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash_own") == F.col("_hash"))
     rows = rows.join(gone, met, "left")
     lines = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     left = F.transform(stay, lambda i: F.get(lines, i))
-    kept = F.when(F.col("gone").isNull(), F.col("text")).when(F.size(left) > 0, F.array_join(left, "\n"))
+    kept = F.when(F.col("_gone").isNull(), F.col("text")).when(F.size(left) > 0, F.array_join(left, "\n"))
     return rows.select(
         *[F.col(c) for c in documents.columns],
         F.coalesce(F.size(lines), F.lit(0)).alias("_n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).alias("_n_removed"),
+        F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_removed"),
         kept.alias("_kept"),
     )

@@ -94,6 +94,8 @@ def mixed(
 ) -> DataFrame:
     """The rows of the mixture, with all columns and six more, named with a leading ``mix_``.
 
+    No column of the rows may have such a name.
+
     mix_tokens; mix_epoch, from 0; mix_block; mix_block_order, the block's place in its source's
     epoch; mix_order, by which rows of a block are ordered; mix_progress, how far into its
     source's budget the block begins, by which sources interleave.
@@ -125,12 +127,12 @@ def mixed(
         "allotted",
         F.expr("allotted div t").alias("epochs"),
         F.expr("allotted % t").alias("rest"),
-        F.expr(f"(t + {block_tokens - 1}) div {block_tokens}").alias("blocks"),
+        F.expr(f"(t + {block_tokens - 1}) div {block_tokens}").alias("mix_blocks"),
     )
     sources = stored(sources, f"{folder}/sources")
-    number = F.pmod(_number(start, F.coalesce(F.col(key).cast("string"), F.lit(""))), F.col("blocks"))
-    placed = known.join(sources.select("mix_source", "blocks"), "mix_source").withColumn("mix_block", number)
-    placed = placed.drop("blocks")
+    number = F.pmod(_number(start, F.coalesce(F.col(key).cast("string"), F.lit(""))), F.col("mix_blocks"))
+    placed = known.join(sources.select("mix_source", "mix_blocks"), "mix_source").withColumn("mix_block", number)
+    placed = placed.drop("mix_blocks")
 
     sizes = placed.groupBy("mix_source", "mix_block").agg(F.sum("mix_tokens").alias("size"))
     turns = sizes.join(sources, "mix_source").withColumn("mix_epoch", F.explode(F.expr("sequence(0L, epochs)")))
@@ -142,7 +144,7 @@ def mixed(
         (F.sum("size").over(epoch.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("before"),
     )
     left = F.when(F.col("mix_epoch") < F.col("epochs"), F.col("size")).otherwise(F.col("rest") - F.col("before"))
-    turns = turns.withColumn("left", left).where("left > 0")
+    turns = turns.withColumn("mix_left", left).where("mix_left > 0")
     progress = (F.col("mix_epoch") * F.col("t") + F.col("before")) / F.col("allotted")
     turns = turns.select(
         "mix_source",
@@ -150,15 +152,15 @@ def mixed(
         "mix_epoch",
         "mix_block_order",
         F.round(progress, 9).alias("mix_progress"),
-        "left",
-        (F.col("left") < F.col("size")).alias("part"),
+        "mix_left",
+        (F.col("mix_left") < F.col("size")).alias("mix_part"),
     )
     turns = stored(turns, f"{folder}/turns")
 
     own = F.md5(F.concat_ws(":", start, F.col("mix_epoch"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    met = placed.join(turns.where("not part"), ["mix_source", "mix_block"]).withColumn("mix_order", own)
-    cut = placed.join(turns.where("part"), ["mix_source", "mix_block"]).withColumn("mix_order", own)
+    met = placed.join(turns.where("not mix_part"), ["mix_source", "mix_block"]).withColumn("mix_order", own)
+    cut = placed.join(turns.where("mix_part"), ["mix_source", "mix_block"]).withColumn("mix_order", own)
     within = Window.partitionBy("mix_source", "mix_block", "mix_epoch").orderBy("mix_order", "mix_tokens")
     within = within.rowsBetween(Window.unboundedPreceding, 0)
-    cut = cut.withColumn("_sum", F.sum("mix_tokens").over(within)).where(F.col("_sum") <= F.col("left")).drop("_sum")
-    return met.unionByName(cut).drop("mix_source", "left", "part")
+    cut = cut.withColumn("mix_sum", F.sum("mix_tokens").over(within)).where(F.col("mix_sum") <= F.col("mix_left")).drop("mix_sum")
+    return met.unionByName(cut).drop("mix_source", "mix_left", "mix_part")
