@@ -25,11 +25,11 @@ def test_query(spark, sf_dir, db, name):
 
 
 def test_entry(spark):
-    assert entry(spark).count() == 21
+    assert entry(spark).count() == 17
 
 
 @pytest.mark.parametrize(
-    "scale, report_rows, stale", [("sf0.001", 105, 21), ("sf0.01", 1315, 271), ("sf0.1", 13055, 2695)]
+    "scale, report_rows, stale", [("sf0.001", 85, 17), ("sf0.01", 1290, 266), ("sf0.1", 13025, 2689)]
 )
 def test_known_counts(spark, scale, report_rows, stale):
     report = queries()["full_report"](spark, f"/root/testdata/{scale}").cache()
