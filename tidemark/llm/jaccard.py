@@ -24,13 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, ranked, stored
 from tidemark.llm.shingles import mix, shingle_sets
 
-_BITS = 21
+_BITS = 24
 _BUCKETS = 1 << _BITS
 _PARTS = 64
 
@@ -45,30 +45,37 @@ def _texts(batch: pd.Series) -> list[bytes]:
 
 
 def shingle_counts(documents: DataFrame, width: int) -> np.ndarray:
-    """How many shingles of all documents fall into each of 2**21 buckets, as powers of two.
+    """How many shingles of all documents fall into each of 2**24 buckets, as powers of two.
 
     The table has a fixed size, so its parts are summed by Spark and it is sent whole to the tasks.
     """
 
+    size = _BUCKETS // _PARTS
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(_BUCKETS, np.int64)
+        total = np.zeros(_BUCKETS, np.uint8)  # 255 stands for that and more
         for batch in batches:
             for some in np.array_split(np.arange(len(batch)), max(1, len(batch) // 2000)):
                 sets = shingle_sets(_texts(batch["text"].iloc[some]), width)
                 flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-                total += np.bincount((flat >> np.uint64(64 - _BITS)).astype(np.int64), minlength=_BUCKETS)
-        yield pd.DataFrame({"part": range(_PARTS), "n": [x.tobytes() for x in np.split(total.astype("<i4"), _PARTS)]})
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "<i4").astype(np.int64) for x in rows["n"])
-        level = np.frexp(total.astype(float))[1].astype(np.uint8)
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "n": [level.tobytes()]})
-
-    counted = documents.select("text").mapInPandas(count, "part int, n binary")
-    levels = counted.groupBy("part").applyInPandas(add, "part int, n binary").orderBy("part").collect()
+                at, n = np.unique((flat >> np.uint64(64 - _BITS)).astype(np.int32), return_counts=True)
+                total[at] = np.minimum(255, total[at].astype(np.int64) + n).astype(np.uint8)
+        yield pd.DataFrame({"part": range(_PARTS), "n": [x.tobytes() for x in np.split(total, _PARTS)]})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:  # a few parts for each task, however many tables are added up
+            for part, n in zip(batch["part"], batch["n"], strict=True):
+                totals.setdefault(part, np.zeros(size, np.int64))
+                totals[part] += np.frombuffer(n, np.uint8)
+        levels = [np.frexp(x.astype(np.float32))[1].astype(np.uint8).tobytes() for x in totals.values()]
+        yield pd.DataFrame({"part": list(totals), "n": levels}).astype({"part": "int32"})
+
+    counted = documents.select("text").mapInPandas(count, "part int, n binary").repartition(_PARTS, "part")
+    levels = counted.mapInPandas(add, "part int, n binary").collect()
     if not levels:
         return np.zeros(_BUCKETS, np.uint8)
-    return np.concatenate([np.frombuffer(r["n"], np.uint8) for r in levels])
+    return np.concatenate([np.frombuffer(r["n"], np.uint8) for r in sorted(levels)])
 
 
 def _ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -127,6 +134,20 @@ def _enough(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (n + m) // (100 + percent))
 
 
+def _few_missing(percent: int) -> Column:
+    """Whether two chunks share enough prefix shingles for some pair of sizes that they may hold.
+
+    Sets of n >= m elements that link have ceil(p (n + m) / (100 + p)) in common, of which at most
+    ceil(p n / 100) - 1 lie beyond a prefix. That falls with n and rises with m, so the largest n
+    and the smallest m, which is no less than p n / 100, need least.
+    """
+    n = F.greatest("low_most", "high_most")
+    m = F.least("low_least", "high_least")
+    common = F.ceil(percent * (n + F.greatest(m, F.ceil(percent * n / 100))) / (100 + percent))
+    # one more than needed is let through, for the division
+    return F.col("shared") >= common - F.ceil(percent * n / 100)
+
+
 def _promising(percent: int, levels):
     """Of pairs of chunks, those in which the prefixes of some pair of groups overlap enough."""
 
@@ -269,9 +290,15 @@ def jaccard_join(
     fits = f"{percent} * least <= 100 * o_most and {percent} * o_least <= 100 * most"
     met = lists.join(other, "shingle").where("cid < o_cid").where(fits)
     met = met.select(F.col("cid").alias("low"), F.col("o_cid").alias("high"))
+    # how many prefix shingles two chunks share bounds what two groups of theirs do; most pairs share too few
+    met = met.groupBy("low", "high").agg(F.count("*").alias("shared"))
+    sizes = home.groupBy("cid").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    for side in ("low", "high"):
+        met = met.join(sizes.select(F.col("cid").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("least", "most")]), side)
+    met = met.where(_few_missing(percent)).select("low", "high")
     alone = home.join(groups.select("n", "p", "members"), ["n", "p"]).groupBy("cid").agg(F.sum("members").alias("s"))
     alone = alone.where("s > 1").select(F.col("cid").alias("low"), F.col("cid").alias("high"))
-    pairs = stored(met.distinct().unionByName(alone), f"{folder}/pairs")
+    pairs = stored(met.unionByName(alone), f"{folder}/pairs")
 
     shared = documents.sparkSession.sparkContext.broadcast(levels)
     heads = home.join(groups, ["n", "p"]).groupBy("cid").agg(F.collect_list(F.struct("n", "members", "head")).alias("g"))
