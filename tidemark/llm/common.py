@@ -9,6 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """An object kept by a worker process for its next tasks; only the last one asked for stays."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -89,17 +100,18 @@ def components(edges: DataFrame, path: str) -> DataFrame:
     turn = 0
     while print_now[0]:
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # stored, so that the join deals both sides anew and Spark can split the edges of a hub
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), f"{path}/{turn}-least")
         large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.distinct(), f"{path}/{turn}-large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), f"{path}/{turn}-lower")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select("a", F.col("m").alias("b")))
         turn += 1
         after = stored(small.distinct(), f"{path}/{turn}")
         print_after = _print(after)
-        dropped(spark, f"{path}/{turn - 1}-large")
-        dropped(spark, f"{path}/{turn - 1}")
+        for name in ("", "-large", "-least", "-lower"):
+            dropped(spark, f"{path}/{turn - 1}{name}")
         now, same = after, print_after == print_now
         print_now = print_after
         if same:

@@ -35,12 +35,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ranked, stored
+from tidemark.llm.common import held, ranked, stored
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 END = 1
-_UNITS = 400_000
+_UNITS = 300_000
 # outside of these, or where white space runs on, a unit alone may be cut in another way
 _ODD = re.compile(r" \s| $|[^\x09-\x0d\x20-\x7e\xa1-ɏ]|<\|")
 
@@ -112,21 +112,12 @@ class Encoder:
             self.place[unit] = at
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
-def _encoder(*files: str) -> Encoder:
-    """One encoder for each worker process."""
-    if files not in _encoders:
-        _encoders[files] = Encoder(*files)
-    return _encoders[files]
-
-
 def pieces(documents: DataFrame, vocabulary: str, ranks: str, pattern: str, window: int) -> DataFrame:
     """The windows each document is cut into."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(vocabulary, ranks, pattern)
+        files = vocabulary, ranks, pattern
+        encoder = held(("encoder", *files), lambda: Encoder(*files))
         end = np.array([END], np.uint32)
         for batch in batches:
             out = []

@@ -31,11 +31,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import held
+
 WINDOW = 8
 BITS = 22
 GRAMS = (3, 4, 5)
 LEAST = 5
-_KNOWN = 300_000
+_KNOWN = 200_000
 
 
 def held_out(key: str = "doc_id"):
@@ -170,7 +172,7 @@ def training_rows(documents: DataFrame, labels: DataFrame, sample: int) -> DataF
     return found.where("text is not null").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
-def fitted(documents: DataFrame, labels: DataFrame, sample: int = 1000, most_chars: int = 5_000_000) -> Model:
+def fitted(documents: DataFrame, labels: DataFrame, sample: int = 600, most_chars: int = 2_500_000) -> Model:
     """A model from a bounded sample; of its texts, in order of id, as many as ``most_chars`` allow."""
     rows = training_rows(documents, labels, sample)
     size = F.length("text")
@@ -205,8 +207,8 @@ class Scorer:
             if len(known) + len(new) > _KNOWN:
                 known.clear()
                 new = list(dict.fromkeys(words))
-            for at in range(0, len(new), 50_000):
-                some = new[at : at + 50_000]
+            for at in range(0, len(new), 10_000):
+                some = new[at : at + 10_000]
                 known.update(zip(some, self.model.words(some).tolist(), strict=True))
             values = [known[w] for w in words]
         total = np.concatenate([[0.0], np.cumsum(values)])
@@ -218,19 +220,13 @@ def _chance(x: float) -> float:
     return 0.0 if x < -700 else 1 / (1 + math.exp(-x))
 
 
-_scorers: dict[float, Scorer] = {}
-
-
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """The documents' columns and score."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        key = float(shared.value.weights.sum()) + shared.value.bias
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
-        scorer = _scorers[key]
+        key = "scorer", float(shared.value.weights.sum()), shared.value.bias
+        scorer = held(key, lambda: Scorer(shared.value))
         for batch in texts:
             yield pd.Series([scorer.score(t or "") for t in batch], dtype="float64")
 
