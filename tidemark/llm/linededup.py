@@ -116,6 +116,8 @@ def deletions(documents: DataFrame, folder: str, rare: int = 100) -> DataFrame:
     once = stored(once.withColumn("place", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_text")), f"{folder}/lines")
     line = once.select("place", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
     shared = line.groupBy("line").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
+    # stored, so that the join deals both sides anew and Spark can split the rows of a frequent line
+    shared = stored(shared, f"{folder}/shared")
     met = line.join(shared, "line").where("place > first")
     fewest = met.groupBy("place").agg(F.min(F.struct("n", "line", "first")).alias("f"))
     pairs = met.where(F.col("n") <= rare).select("place", "first")

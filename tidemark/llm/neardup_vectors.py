@@ -138,6 +138,8 @@ def near_vectors(
     inside = reps.select("rep", "v", "copies").join(comps, F.col("rep") == F.col("node")).drop("node")
     inside = ranked(inside, ["component", "rep"], f"{folder}/inside")
     first = inside.groupBy("component").agg(F.min("rank").alias("first"), F.count("*").alias("size"))
+    # stored, so that the join deals both sides anew and Spark can split a large component
+    first = stored(first, f"{folder}/first")
     parts = inside.join(first, "component").withColumn("chunk", ((F.col("rank") - F.col("first")) / chunk).cast("int"))
     other = F.explode(F.sequence(F.lit(0), ((F.col("size") - 1) / chunk).cast("int")))
     pairs = parts.withColumn("other", other).select(

@@ -223,6 +223,8 @@ def repeated_spans(documents: DataFrame, folder: str, length: int = 200, most: i
     )
     contexts = stored(contexts, f"{folder}/contexts")
     again = contexts.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # stored, so that the join deals both sides anew and Spark can split the rows of a frequent anchor
+    again = stored(again, f"{folder}/again")
     shared = stored(contexts.join(again, "h"), f"{folder}/shared")
     dropped(documents.sparkSession, f"{folder}/contexts")
     distinct = shared.groupBy("h", "ctx").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "f", "l", "o")).alias("r"))
