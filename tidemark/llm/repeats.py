@@ -32,7 +32,7 @@ from tidemark.llm.suffixes import common_prefixes, suffix_array
 
 GRAM = 64
 _AT = "doc_id bigint, th int"
-_BATCH = 4_000_000
+_BATCH = 1_000_000
 
 
 def _data(batch: pd.DataFrame) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
