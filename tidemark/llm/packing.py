@@ -40,7 +40,7 @@ from tidemark.llm.common import held, ranked, stored
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 END = 1
-_UNITS = 200_000
+_UNITS = 400_000
 # outside of these, or where white space runs on, a unit alone may be cut in another way
 _ODD = re.compile(r" \s| $|[^\x09-\x0d\x20-\x7e\xa1-ɏ]|<\|")
 
