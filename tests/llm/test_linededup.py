@@ -80,3 +80,12 @@ def test_edges(spark, tmp_path):
         [(1, 0, 0), (2, 1, 0), (3, 3, 0), (None, 2, 2), (4, 2, 0), (4, 2, 0), (4, 5001, 0), (5, 5001, 5001)]
     )
     assert without_lines(spark.createDataFrame([], SCHEMA), str(tmp_path / "b")).collect() == []
+
+
+def test_frequent_lines_go_beside_rarer_ones(spark, tmp_path):
+    """A line in more than 100 documents, in documents that share a rarer line with another one."""
+    rows = [(i, f"own {i}\nfrequent one\nfrequent two") for i in range(150)] + [(200, "rare\nalone")]
+    rows += [(300 + i, f"rare\nmore {i}\nfrequent one\nfrequent two") for i in range(5)]
+    found = {r.doc_id: r._kept for r in without_lines(spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()}
+    assert found[0] == rows[0][1] and found[200] == "rare\nalone"
+    assert all(found[300 + i] == f"more {i}" for i in range(5))

@@ -1,11 +1,10 @@
 """Line dedup by pairwise alignment.
 
 Documents become arrays of line hashes; texts are not moved. Each line hash that several
-documents have names its first holder, the document with the smallest id. A shared line nominates
-that holder as a partner of each later document if it is rare (in at most ``rare`` documents) or
-the rarest shared line of that document, so members of a large group of copies find their first
-member too. A line nominates one holder however many documents share it: the pairs grow with the
-lines, not with the square of a group.
+documents have names its first holder, the document with the smallest id, as a partner of each
+later document with that line, however many they are (``rare`` bounds nothing and is still taken
+for older callers). A line nominates one holder however many documents share it: the pairs grow
+with the lines, not with the square of a group.
 
 Each pair is aligned by patience diff: lines that are unique in both are anchors, the longest
 chain of them in order stands, and the gaps between are aligned in the same way; a gap without
@@ -115,13 +114,10 @@ def deletions(documents: DataFrame, folder: str, rare: int = 100) -> DataFrame:
     once = known.groupBy("doc_id", "_text").agg(F.first("lines").alias("lines"))
     once = stored(once.withColumn("place", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_text")), f"{folder}/lines")
     line = once.select("place", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
-    shared = line.groupBy("line").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
+    shared = line.groupBy("line").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n")
     # stored, so that the join deals both sides anew and Spark can split the rows of a frequent line
     shared = stored(shared, f"{folder}/shared")
-    met = line.join(shared, "line").where("place > first")
-    fewest = met.groupBy("place").agg(F.min(F.struct("n", "line", "first")).alias("f"))
-    pairs = met.where(F.col("n") <= rare).select("place", "first")
-    pairs = pairs.unionByName(fewest.select("place", F.col("f.first").alias("first"))).distinct()
+    pairs = line.join(shared, "line").where("place > first").select("place", "first").distinct()
     texts = once.select("place", "lines")
     pairs = pairs.join(texts.select("place", F.col("lines").alias("later")), "place")
     pairs = pairs.join(texts.select(F.col("place").alias("first"), F.col("lines").alias("earlier")), "first")
