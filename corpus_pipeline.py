@@ -29,7 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that align with an earlier one; those that lose all are copies and go."""
-    rows = without_lines(docs.select(*COLUMNS), scratch(spark))
+    rows = without_lines(docs.select(*COLUMNS), scratch(spark), further=True)
     left = F.trim(F.coalesce("_kept", F.lit(""))) != ""
     rows = rows.where((F.col("_n_removed") == 0) | left)
     rows = rows.withColumn("text", F.col("_kept"))

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm.linededup import patience, without_lines
+from tidemark.llm.linededup import _solid, patience, without_lines
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -89,3 +89,23 @@ def test_frequent_lines_go_beside_rarer_ones(spark, tmp_path):
     found = {r.doc_id: r._kept for r in without_lines(spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()}
     assert found[0] == rows[0][1] and found[200] == "rare\nalone"
     assert all(found[300 + i] == f"more {i}" for i in range(5))
+
+
+def test_further_holders_are_all_pairs(spark, tmp_path):
+    """As in the queries: a line stays only if it aligns with none of its earlier holders."""
+    rng = random.Random(8)
+    pool = [f"line {i}" for i in range(12)]
+    rows = [(0, "l2\nx\nl1"), (1, "l1\nl2"), (2, "l1\nl2")]
+    rows += [(10 + i, "\n".join(rng.choice(pool) if rng.random() < 0.7 else f"{i} {k}" for k in range(rng.randint(1, 9)))) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = {r.doc_id: r._kept for r in without_lines(df, str(tmp_path / "a"), further=True).collect()}
+    first = {r.doc_id: r._kept for r in without_lines(df, str(tmp_path / "b")).collect()}
+    assert found[2] is None and found != first
+    for i, text in rows:
+        own = text.split("\n")
+        gone = set()
+        for j, other in rows:
+            if j < i and set(own) & set(other.split("\n")):
+                gone |= {x for x, _ in _solid(patience(own, other.split("\n")), own)}
+        kept = [x for n, x in enumerate(own) if n not in gone]
+        assert found[i] == ("\n".join(kept) if kept else None)

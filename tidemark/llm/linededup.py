@@ -6,6 +6,11 @@ later document with that line, however many they are (``rare`` bounds nothing an
 for older callers). A line nominates one holder however many documents share it: the pairs grow
 with the lines, not with the square of a group.
 
+With ``further``, a shared line that a document still has then names the later of its holders that
+come before the document, in rounds of 3, 12, 48 ... of them, until each was tried. A line that
+stays aligns with no earlier holder: the result is that of all pairs. Only lines that are left
+name holders; where one stays in many documents, its pairs grow with the square of those.
+
 Each pair is aligned by patience diff: lines that are unique in both are anchors, the longest
 chain of them in order stands, and the gaps between are aligned in the same way; a gap without
 anchors keeps its equal head and tail. Aligned runs of lines are deleted from the later document,
@@ -22,13 +27,14 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import ranked, stored
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -106,7 +112,59 @@ def _solid(pairs: list[tuple[int, int]], lines: np.ndarray) -> list[tuple[int, i
     return out + (run if any(lines[x] for x, _ in run) else [])
 
 
-def deletions(documents: DataFrame, folder: str, rare: int = 100) -> DataFrame:
+def _pair_deletions(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The places of lines that each pair (place, first) aligns, by the later document."""
+    pairs = pairs.join(texts.select("place", F.col("lines").alias("later")), "place")
+    pairs = pairs.join(texts.select(F.col("place").alias("first"), F.col("lines").alias("earlier")), "first")
+    kind = texts.schema["place"].dataType.simpleString()
+    return pairs.select("place", "earlier", "later").mapInPandas(_aligned, f"place {kind}, gone array<int>")
+
+
+def _united(gone: DataFrame) -> DataFrame:
+    gone = gone.where(F.size("gone") > 0).groupBy("place")
+    return gone.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+
+
+def _lines_left(texts: DataFrame) -> DataFrame:
+    """The different lines that are not blank and not gone: place, line."""
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
+    left = F.array_distinct(F.transform(stay, lambda i: F.get("lines", i)))
+    return texts.select("place", F.explode(left).alias("line")).where("line <> 0")
+
+
+def _further(once: DataFrame, line: DataFrame, shared: DataFrame, gone: DataFrame, folder: str) -> DataFrame:
+    """``gone`` with what aligns with other earlier holders than the first."""
+    left = _lines_left(once.join(gone, "place", "left")).join(shared, "line").where("place > first")
+    left = stored(left.select("place", "line"), f"{folder}/left")
+    holders = line.join(left.select("line").distinct(), "line")
+    holders = stored(ranked(holders, ["line", "place"], f"{folder}/holders"), f"{folder}/ranked")
+    begin = stored(holders.groupBy("line").agg(F.min("rank").alias("begin")), f"{folder}/begin")
+    holders = holders.join(begin, "line").select("line", "place", (F.col("rank") - F.col("begin")).alias("nth"))
+    holders = stored(holders, f"{folder}/nth")
+    texts = stored(once.join(holders.select("place").distinct(), "place").select("place", "lines"), f"{folder}/texts")
+    left = left.join(holders, ["line", "place"])
+    low, parts = 1, [gone]
+    while True:
+        left = stored(left.where(F.col("nth") > low), f"{folder}/left-{low}")
+        if left.isEmpty():
+            return _united(_all(parts))
+        high = 4 * low
+        named = holders.where(F.col("nth").between(low, high - 1)).select("line", F.col("place").alias("first"), F.col("nth").alias("_nth"))
+        pairs = left.join(named, "line").where("_nth < nth").select("place", "first").distinct()
+        new = stored(_pair_deletions(pairs, texts).where(F.size("gone") > 0), f"{folder}/gone-{low}")
+        parts.append(new)
+        changed = new.select("place").distinct()
+        now = _united(_all(parts).join(changed, "place", "left_semi"))
+        still = _lines_left(texts.join(now, "place"))
+        left = left.join(changed, "place", "left_anti").unionByName(left.join(still, ["line", "place"], "left_semi"))
+        low = high
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def deletions(documents: DataFrame, folder: str, rare: int = 100, further: bool = False) -> DataFrame:
     """For each document that loses lines: doc_id, _text (a hash), gone (the places of lines, from 0)."""
     known = documents.select("doc_id", F.xxhash64("text").alias("_text"), line_hashes().alias("lines"))
     known = known.where("lines is not null")
@@ -118,21 +176,18 @@ def deletions(documents: DataFrame, folder: str, rare: int = 100) -> DataFrame:
     # stored, so that the join deals both sides anew and Spark can split the rows of a frequent line
     shared = stored(shared, f"{folder}/shared")
     pairs = line.join(shared, "line").where("place > first").select("place", "first").distinct()
-    texts = once.select("place", "lines")
-    pairs = pairs.join(texts.select("place", F.col("lines").alias("later")), "place")
-    pairs = pairs.join(texts.select(F.col("place").alias("first"), F.col("lines").alias("earlier")), "first")
-    kind = once.schema["place"].dataType.simpleString()
-    gone = pairs.select("place", "earlier", "later").mapInPandas(_aligned, f"place {kind}, gone array<int>")
-    gone = gone.groupBy("place").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
-    return gone.where(F.size("gone") > 0).select("place.doc_id", "place._text", "gone")
+    gone = _united(_pair_deletions(pairs, once))
+    if further:
+        gone = _further(once, line, shared, stored(gone, f"{folder}/first"), f"{folder}/further")
+    return gone.select("place.doc_id", "place._text", "gone")
 
 
-def without_lines(documents: DataFrame, folder: str, rare: int = 100) -> DataFrame:
+def without_lines(documents: DataFrame, folder: str, rare: int = 100, further: bool = False) -> DataFrame:
     """The documents with _n_lines, _n_removed and _kept, the text that is left (null: none is).
 
     Columns whose names begin with an underscore must not be there already.
     """
-    gone = stored(deletions(documents, folder, rare), f"{folder}/gone")
+    gone = stored(deletions(documents, folder, rare, further), f"{folder}/gone")
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.col("gone").alias("_gone"))
     rows = documents.withColumn("_hash_own", F.xxhash64("text"))
     met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash_own") == F.col("_hash"))

@@ -147,7 +147,7 @@ def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_linededup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, with what is left of each."""
-    rows = without_lines(table(spark, folder, "documents").select("doc_id", "text"), scratch(spark))
+    rows = without_lines(table(spark, folder, "documents").select("doc_id", "text"), scratch(spark), further=True)
     return rows.select(
         "doc_id",
         F.col("_n_lines").alias("n_lines"),
