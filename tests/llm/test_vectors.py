@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,26 @@ def test_repeated_ids(spark, tmp_path):
     rows = [(5, [1.0, 0.0], 0), (5, [1.0, 0.0], 0), (7, [0.0, 1.0], 0)]
     found = sorted(map(tuple, near_vectors(spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()))
     assert found == [(5, 1, 5, True), (5, 1, 5, True), (7, 0, 7, True)]
+
+
+def test_pairs_in_a_dense_group(spark, tmp_path):
+    """A third of 30,000 vectors have cosines of about 0.9 with each other; 200 of them have a near copy at 0.96."""
+    rng = np.random.default_rng(3)
+    rows = rng.standard_normal((30_000, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    topic, rest = rows[-1], rows[:10_000] - np.outer(rows[:10_000] @ rows[-1], rows[-1])
+    rest /= np.linalg.norm(rest, axis=1, keepdims=True)
+    other = rng.standard_normal((200, 64))
+    other -= np.outer(other @ topic, topic)
+    other -= (other * rest[:200]).sum(axis=1, keepdims=True) * rest[:200]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    rest[200:400] = 0.6 * rest[:200] + 0.8 * other
+    rows[:10_000] = math.sqrt(0.9) * topic + math.sqrt(0.1) * rest
+    rows = np.float32(rows[rng.permutation(len(rows))])
+    unit = rows.astype(np.float64) / np.linalg.norm(rows.astype(np.float64), axis=1, keepdims=True)
+    links = np.concatenate([(part @ unit.T >= 0.95).sum(axis=1) - 1 for part in np.array_split(unit, 30)])
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(rows)), "embedding": rows.tolist(), "label": 0}), SCHEMA)
+    found = {r.vec_id: r.n_links for r in near_vectors(df, str(tmp_path)).collect()}
+    assert len(found) == len(rows) and links.sum() >= 400
+    assert all(found[i] <= n for i, n in enumerate(links))
+    assert sum(found.values()) >= 0.99 * links.sum()

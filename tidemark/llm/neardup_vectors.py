@@ -2,10 +2,14 @@
 
 Each pass hashes every vector to the signs of its products with random directions, drawn from a
 fixed seed, and sorts all vectors by that string of bits and then by id. Vectors that are nearly
-parallel share long prefixes with good chance, so each is compared with its ``window`` next
-neighbours in the order; every pass uses other directions. All passes run as one sort. The order
-is cut into blocks of equal size, each with the first rows of the next block, so no pair is lost
-at a cut and a third of all vectors with one hash are still many blocks.
+parallel share long prefixes with good chance; every pass uses other directions. All passes run as
+one sort. The order is cut into blocks of equal size, each with the first ``window`` rows of the
+next block, so no pair of close neighbours is lost at a cut and a third of all vectors with one hash
+are still many blocks. All vectors of a block are compared with each other: in a dense group, whose
+members the bits hardly tell apart, a pair need not be close in the order but in one block. Beyond
+65,536 vectors the passes grow with the square root of their number, as blocks hold a smaller part
+of such a group then. The search stays one by chance: a pair that no pass brings into one block is
+missed.
 
 Pairs are verified in double precision where they are found. A block hands on a spanning forest of
 its verified pairs, and the forests of all passes are united to components. A vector's links are
@@ -22,6 +26,7 @@ the row with most; they stay one row of the result each.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -32,6 +37,8 @@ from tidemark.llm.common import components, ranked, stored
 from tidemark.llm.topk import sound_vectors
 
 _SEED = 20_240_501
+#: Distinct vectors from which on the passes grow.
+_PASSES_GROW = 65_536
 
 
 def _keys(vectors: DataFrame, passes: int, bits: int) -> DataFrame:
@@ -58,36 +65,33 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _forest(least: float, window: int):
+def _forest(least: float):
     """Verified pairs of one block, thinned to a forest."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("rank", ignore_index=True)
         ids, sizes = block["rep"].to_numpy(), block["v"].map(len).to_numpy()
-        found = []
+        edges = [np.empty((0, 2), np.int64)]
         for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
             unit = _units(block["v"].iloc[at])
-            for step in range(1, min(window, len(at) - 1) + 1):
-                near = np.flatnonzero(np.einsum("ij,ij->i", unit[:-step], unit[step:]) >= least)
-                found.append(np.stack([at[near], at[near + step]]))
-        a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        # a forest of the verified pairs themselves: each tree edge is a pair that was compared
-        root = list(range(len(ids)))
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        edges = []
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            s, t = top(x), top(y)
-            if s != t:
-                root[max(s, t)] = min(s, t)
-                edges.append((ids[x], ids[y]))
-        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+            # single precision finds those with any neighbour, double precision decides
+            rough = unit.astype(np.float32)
+            some = np.flatnonzero((rough @ rough.T >= least - 1e-3).sum(axis=1) > 1)
+            at, unit = at[some], unit[some]
+            near = unit @ unit.T >= least
+            # a forest of the verified pairs themselves: each tree edge is a pair that was compared
+            fresh = np.ones(len(at), bool)
+            for root in range(len(at)):
+                todo = [root] if fresh[root] else []
+                fresh[root] = False
+                while todo:
+                    x = todo.pop()
+                    met = np.flatnonzero(near[x] & fresh)
+                    fresh[met] = False
+                    todo += met.tolist()
+                    edges.append(np.stack([np.full(len(met), ids[at[x]]), ids[at[met]]], axis=1))
+        return pd.DataFrame(np.concatenate(edges), columns=["a", "b"]).astype("int64")
 
     return run
 
@@ -128,11 +132,12 @@ def near_vectors(
     members = rows.join(reps.select("h", "g", F.col("v").alias("w"), "rep", "copies"), ["h", "g"])
     members = stored(members.where("v = w").select("vec_id", "rep", "copies"), f"{folder}/members")
 
+    passes = ceil(passes * max(1.0, (reps.count() / _PASSES_GROW) ** 0.5))
     order = ranked(_keys(reps, passes, bits), ["pass", "key", "rep"], f"{folder}/order")
     at = (F.col("rank") / block).cast("bigint")
     halo = F.when((F.col("rank") % block < window) & (at > 0), F.array(at, at - 1)).otherwise(F.array(at))
     blocks = order.withColumn("block", F.explode(halo))
-    edges = blocks.groupBy("pass", "block").applyInPandas(_forest(least, window), "a bigint, b bigint")
+    edges = blocks.groupBy("pass", "block").applyInPandas(_forest(least), "a bigint, b bigint")
     comps = stored(components(edges, f"{folder}/components"), f"{folder}/labels")
 
     inside = reps.select("rep", "v", "copies").join(comps, F.col("rep") == F.col("node")).drop("node")
