@@ -1,8 +1,8 @@
-"""The registered queries of this folder, with their SQL where SQL can express them."""
+"""The corpus queries and their SQL."""
 
 from __future__ import annotations
 
-from tidemark.llm import queries as q
+from tidemark.llm import queries, queries_words
 
-QUERIES = q.QUERIES
-ORACLES = q.ORACLES
+QUERIES = queries.QUERIES | queries_words.QUERIES
+ORACLES = queries.ORACLES | queries_words.ORACLES

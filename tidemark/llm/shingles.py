@@ -33,17 +33,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, bounds: np.ndarray, gap: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of texts that lie one after the other in a byte array.
 
     ``bounds`` holds where each text starts, and the end of the last. A white-space byte must
-    follow each text. Returns the hashes and, for each text, where its words start among them
-    (one entry more than texts). Letters A-Z count as a-z.
+    follow each text. ``gap`` tells which bytes are in no word. Returns the hashes and, for each
+    text, where its words start among them (one entry more than texts). Letters A-Z count as a-z.
     """
     global _powers, _inverse
     _powers = grown(_powers, _FACTOR, len(data) + 1)
     _inverse = grown(_inverse, pow(_FACTOR, -1, 1 << 64), len(data) + 1)
-    inside = ~_IS_SPACE[data]
+    inside = ~gap[data]
     edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     total = np.zeros(len(data) + 1, np.uint64)
