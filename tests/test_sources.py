@@ -155,3 +155,62 @@ def test_row_counts(spark, region):
 def test_scratch_folder_is_where_the_cluster_says(spark, conf):
     one, two = td.scratch_folder(spark), td.scratch_folder(spark)
     assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_empty_files_count(spark, tmp_path):
+    """A file's time counts whatever the file holds."""
+    import os
+
+    full, empty = str(tmp_path / "lake/full"), str(tmp_path / "lake/empty")
+    spark.range(10).repartition(1).write.parquet(full)
+    spark.range(0).write.parquet(empty)
+    (part,) = (tmp_path / "lake/full").glob("part-*")
+    (blank,) = (tmp_path / "lake/empty").glob("part-*")
+    newest = tmp_path / "lake/full/part-99999.parquet"
+    newest.write_bytes(blank.read_bytes())
+    for path, seconds in ((part, 1_600_000_000), (newest, 1_700_000_000), (blank, 1_650_000_000)):
+        os.utime(path, (seconds, seconds))
+    found = td.file_activity(spark, [str(tmp_path / "lake")], "p").withColumn("s", F.unix_seconds("storage_last_modified_time"))
+    assert {(r.table_name, r.s) for r in found.collect()} == {("full", 1_700_000_000), ("empty", 1_650_000_000)}
+    files = td.listed_files(spark, [str(tmp_path / "lake")]).join(td.rows_per_file(spark, [str(tmp_path / "lake")]), "file")
+    assert sorted((r.table_name, r.row_count) for r in files.collect()) == [("empty", 0), ("full", 0), ("full", 10)]
+
+
+def test_file_times_need_no_rows(spark, sf_dir):
+    plan = td.file_activity(spark, [f"{sf_dir}/lineitem.parquet"], "p")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "Parquet" not in plan
+
+
+def broken(df):
+    return df.withColumn("table_name", F.expr("if(table_name = 'b', raise_error('broken'), table_name)"))
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, region, tmp_path):
+    for target in (str(tmp_path / "t"), "kept_table"):
+        assert td.replace_table(region("a", "x"), target) == 2
+        with pytest.raises(Exception, match="broken"):
+            td.replace_table(broken(region("a", "b", "c")), target)
+        assert {r.table_name for r in td.read_table(spark, target).collect()} == {"a", "x"}
+        assert td.replace_table(region("c"), target) == 1
+        assert [r.table_name for r in td.read_table(spark, target).collect()] == ["c"]
+    spark.sql("DROP TABLE kept_table")
+    assert td.union_sources(spark, {"p": str(tmp_path / "t")}).count() == 1
+
+
+def test_a_reader_keeps_its_version(spark, region, tmp_path):
+    target = str(tmp_path / "t")
+    td.replace_table(region("a"), target)
+    before = td.read_table(spark, target)
+    td.replace_table(before.unionByName(region("b")), target)  # a table may be replaced by what is read from it
+    assert [r.table_name for r in before.collect()] == ["a"]
+    for _ in range(3):
+        td.replace_table(td.read_table(spark, target), target)
+    assert td.read_table(spark, target).count() == 2
+    assert len(list((tmp_path / "t").glob("_v*"))) == 2, "older versions are removed"
+
+
+def test_other_columns_replace_a_table(spark, region):
+    td.replace_table(region("a"), "changed_table")
+    td.replace_table(spark.range(3), "changed_table")
+    assert spark.table("changed_table").columns == ["id"] and spark.table("changed_table").count() == 3
+    spark.sql("DROP TABLE changed_table")

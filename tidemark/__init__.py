@@ -40,10 +40,11 @@ from tidemark.operators.summary import (
 from tidemark.presets import MONITORED, Scope
 from tidemark.sources.activity import (
     file_activity,
-    file_rows,
+    listed_files,
     opt_out_datasets,
     read_source,
     require_rows,
+    rows_per_file,
     table_activity,
     union_frames,
     union_sources,

@@ -20,7 +20,7 @@ from tidemark.operators.routing import route
 from tidemark.operators.rules import rules_from_json
 from tidemark.operators.summary import route_summary
 from tidemark.presets import DEFAULT_HOURS, DISPLAY_ZONE, MONITORED, RUNTIME_COLUMN, Scope
-from tidemark.sources.activity import opt_out_datasets, read_source, require_rows, table_activity, union_sources
+from tidemark.sources.activity import opt_out_datasets, read_source, table_activity, union_sources
 from tidemark.sources.schemas import (
     ACTIVITY,
     IGNORED_DATASETS,
@@ -29,55 +29,58 @@ from tidemark.sources.schemas import (
     THRESHOLDS,
     conform,
 )
-from tidemark.sources.staging import read_table, read_violations, replace_table, row_counts
-from tidemark.sources.stored import removed
+from tidemark.sources.staging import read_table, read_violations, replace_table
+from tidemark.sources.versions import commit, current, dropped, new_version, written
 
 Sources = Mapping[str, str | DataFrame | Iterable[str | DataFrame]]
 
 
 @dataclass(frozen=True)
 class Workspace:
-    """A folder that all executors reach, and the tables in it."""
+    """A folder that all executors reach, and the tables in it. Each attribute is the folder to read now."""
 
     folder: str
 
-    @property
-    def activity(self) -> str:
-        return f"{self.folder}/table_storage"
+    def table(self, name: str) -> str:
+        """Where a table's versions lie, to be replaced there."""
+        return f"{self.folder}/{name}"
+
+    def _now(self, name: str) -> str:
+        return current(SparkSession.active(), self.table(name))
 
     @property
-    def new_activity(self) -> str:
-        return f"{self.folder}/table_storage_new"
+    def activity(self) -> str:
+        return self._now("table_storage")
 
     @property
     def opted_out(self) -> str:
-        return f"{self.folder}/dataset_labels"
+        return self._now("dataset_labels")
 
     @property
     def stale(self) -> str:
-        return f"{self.folder}/stale_tables"
+        return self._now("stale_tables")
 
     @property
     def facts(self) -> str:
-        return f"{self.folder}/job_facts"
+        return self._now("job_facts")
 
     @property
     def violations(self) -> str:
-        return f"{self.folder}/latency_violations"
+        return self._now("latency_violations")
 
     @property
     def routed(self) -> str:
-        return f"{self.folder}/routed_violations"
+        return self._now("routed_violations")
 
     @property
     def report(self) -> str:
-        return f"{self.folder}/report"
+        return self._now("report")
 
 
 def collect(
     spark: SparkSession, work: Workspace, activity: Sources, options: Sources
 ) -> DataFrame:
-    """Stage activity and opted-out datasets of all projects. Returns the rows of each.
+    """Stage activity and opted-out datasets of all projects. Returns the rows of each, counted while writing.
 
     Activity is folded before it is stored: its latest time per table, project and mark.
     No activity at all is an error, and then nothing is replaced.
@@ -85,17 +88,15 @@ def collect(
     rows = union_sources(spark, activity)
     # One row per table, project and mark: nothing later asks for more of the raw rows.
     names = ("source_project_id", "table_schema", "table_name", "storage_last_modified_time", "deleted")
-    folded = table_activity(rows, *(F.col(name) for name in names))
-    replace_table(folded, work.new_activity)
-    replace_table(require_rows(read_table(spark, work.new_activity), "table activity"), work.activity)
-    removed(spark, work.new_activity)
-    replace_table(opt_out_datasets(union_sources(spark, options, OPTIONS)), work.opted_out)
-    return row_counts(
-        {
-            "table_storage_rows": read_table(spark, work.activity),
-            "dataset_labels_rows": read_table(spark, work.opted_out),
-        }
-    )
+    version = new_version(spark, work.table("table_storage"))
+    stored = written(table_activity(rows, *(F.col(name) for name in names)), version)
+    if not stored:
+        dropped(spark, version)
+        raise RuntimeError("table activity has no rows; there is nothing to check")
+    commit(spark, version)
+    labels = replace_table(opt_out_datasets(union_sources(spark, options, OPTIONS)), work.table("dataset_labels"))
+    counts = [("table_storage_rows", stored), ("dataset_labels_rows", labels)]
+    return spark.createDataFrame(counts, "input string, row_count bigint")
 
 
 def check(
@@ -131,14 +132,14 @@ def check(
         zone,
         hour_mode,
     )
-    replace_table(stale, work.stale)
+    replace_table(stale, work.table("stale_tables"))
     stale = read_table(spark, work.stale)
     facts = enrichment(
         source_tables, sources, job_stats, zone, runtime=runtime, tiebreak=tiebreak, only_for=stale
     )
-    replace_table(facts, work.facts)
+    replace_table(facts, work.table("job_facts"))
     violations = report(stale, read_table(spark, work.facts), spread=True, ordered=False)
-    replace_table(violations, work.violations)
+    replace_table(violations, work.table("latency_violations"))
     return read_violations(spark, work.violations)
 
 
@@ -147,7 +148,9 @@ def publish(
 ) -> DataFrame:
     """Write one report per route and return what each route is told."""
     rules = rules_from_json(spark, routing)
-    replace_table(route(read_table(spark, work.violations), rules), work.routed)
+    replace_table(route(read_table(spark, work.violations), rules), work.table("routed_violations"))
     routed = read_table(spark, work.routed)
-    write_report_or_message(routed, work.report, file_format)
+    version = new_version(spark, work.table("report"))
+    write_report_or_message(routed, version, file_format)
+    commit(spark, version)
     return route_summary(routed, rules)

@@ -17,7 +17,7 @@ from tidemark.functions.time import second_text
 from tidemark.operators.routing import has_id
 from tidemark.plans import daily
 from tidemark.plans import fixtures as fx
-from tidemark.sources.activity import file_rows
+from tidemark.sources.activity import listed_files, rows_per_file
 from tidemark.sources.schemas import ACTIVITY, OPTIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -382,7 +382,10 @@ def staging_counts(spark, sf_dir):
 
 
 # File times differ per machine; that there is one, and for which tables, does not.
-_FILES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+_FILES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders",
+    "pages", "part", "region", "supplier",
+)
 
 
 @_register(
@@ -390,11 +393,10 @@ _FILES = ("customer", "events", "lineitem", "nation", "orders", "part", "region"
 )
 def file_freshness(spark, sf_dir):
     paths = [f"{sf_dir}/{name}.parquet" for name in _FILES]
-    rows = file_rows(spark, paths).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
-    times = td.file_activity(spark, paths, "files").groupBy("table_name").agg(
-        F.count("storage_last_modified_time").alias("times")
-    )
-    return rows.join(times, "table_name").select("table_name", "row_count", (F.col("times") > 0).alias("has_time"))
+    files = listed_files(spark, paths).select("file", "table_name").join(rows_per_file(spark, paths), "file")
+    rows = files.groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
+    times = td.file_activity(spark, paths, "files").select("table_name", "storage_last_modified_time")
+    return rows.join(times, "table_name").select("table_name", "row_count", F.col("storage_last_modified_time").isNotNull().alias("has_time"))
 
 
 @_register("SELECT table_schema, table_name FROM stale")

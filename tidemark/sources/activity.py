@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.presets import OPT_OUT_OPTION, OPT_OUT_PATTERN
 from tidemark.sources.schemas import ACTIVITY, OPTIONS, conform
+from tidemark.sources.versions import read_current
 
 _MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
@@ -41,26 +42,36 @@ def table_activity(
 _TABLE_FOLDER = r"(/[^/=]+=[^/]*)*/part-[^/]*$"
 
 
-def file_rows(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """A row for each row of Parquet files, with its table, dataset and the file's time; no column is read.
+def listed_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """A row for each file, with its table, dataset, time, size and place; no file is opened.
 
     The table is the folder of a file that Spark wrote, without folders of partitions; any other
-    file is a table of its own. The dataset is the folder above.
+    file is a table of its own. The dataset is the folder above. Files of any kind count, empty
+    ones too; names that begin with a dot or an underscore do not.
     """
-    rows = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*paths)
-    table = F.regexp_replace(F.col("_metadata.file_path"), _TABLE_FOLDER, "")
-    steps = F.split(table, "/")
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    steps = F.split(F.regexp_replace("path", _TABLE_FOLDER, ""), "/")
     return rows.select(
         F.element_at(steps, -2).alias("table_schema"),
         F.regexp_replace(F.element_at(steps, -1), r"\.[^.]*$", "").alias("table_name"),
-        F.col("_metadata.file_modification_time").alias("storage_last_modified_time"),
+        F.col("modificationTime").alias("storage_last_modified_time"),
+        F.col("length").alias("bytes"),
+        F.col("_metadata.file_path").alias("file"),
     )
 
 
+def rows_per_file(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """file, row_count: how many rows each Parquet file has, 0 for none; no column is read."""
+    rows = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*paths)
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("row_count"))
+    listed = listed_files(spark, paths).select("file").join(counts, "file", "left")
+    return listed.select("file", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+
+
 def file_activity(spark: SparkSession, paths: Iterable[str], project: str) -> DataFrame:
-    """Activity taken from Parquet files: for each table the time its newest file was changed."""
+    """Activity taken from files: for each table the time its newest file was changed, whatever the file holds."""
     return table_activity(
-        file_rows(spark, paths),
+        listed_files(spark, paths),
         F.lit(project),
         F.col("table_schema"),
         F.col("table_name"),
@@ -76,7 +87,7 @@ def _open(spark: SparkSession, source: str | DataFrame, schema: T.StructType) ->
     if isinstance(source, DataFrame):
         return source
     try:
-        df = spark.read.parquet(source) if "/" in source else spark.table(source)
+        df = read_current(spark, source) if "/" in source else spark.table(source)
         df.schema  # resolve now, so that a missing table shows here
         return df
     except AnalysisException as error:
