@@ -49,6 +49,7 @@ from tidemark.sources.activity import (
     union_frames,
     union_sources,
 )
+from tidemark.sources.ledger import activity_state, fold_new_files, unseen_files
 from tidemark.sources.staging import (
     read_table,
     read_violations,

@@ -26,6 +26,7 @@ from tidemark.presets import (
     TAIL_ONE,
     UNKNOWN_DATASET,
 )
+from tidemark.sources.stored import stored
 
 
 def dataset_counts(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -131,11 +132,13 @@ def summary_text(
 def route_summary(routed: DataFrame, rules: DataFrame, budget: int = SUMMARY_BUDGET) -> DataFrame:
     """One row per route: its channels, how many violations, which report, and the text.
 
-    The default route is there even if nothing is stale; other routes need a record.
+    The default route is there even if nothing is stale; other routes need a record. Violations per
+    route and dataset are worked out once and stored; everything else comes from them.
     """
-    texts = summary_text(dataset_counts(routed, ROUTE_COLUMNS), ROUTE_COLUMNS, budget)
+    counts = stored(dataset_counts(routed, ROUTE_COLUMNS))
+    texts = summary_text(counts, ROUTE_COLUMNS, budget)
     default = with_routes(rules).filter(F.col("is_default")).select(*ROUTE_COLUMNS)
-    silent = default.join(texts, ["route"], "left_anti")
+    silent = default.join(counts.select("route").distinct(), "route", "left_anti")
     violations = F.coalesce("total_violations", F.lit(0)).cast("bigint")
     return texts.unionByName(silent, allowMissingColumns=True).select(
         *ROUTE_COLUMNS,

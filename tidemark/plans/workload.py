@@ -334,6 +334,17 @@ def table_activity(spark, sf_dir):
     return _modified(td.table_activity(rows, *(F.col(column) for column in columns)))
 
 
+@_register(ENTRIES["table_activity"].oracle.removeprefix(_WITH))
+def activity_in_batches(spark, sf_dir):
+    """Two days of files; the second day reads its own only, and the state is that of both at once."""
+    lake, state = f"{td.scratch_folder(spark)}/lake", td.scratch_folder(spark)
+    rows = fx.relation(spark, sf_dir, fx.LINEITEM_ACTIVITY)
+    for day in range(2):
+        rows.where(F.crc32(F.col("table_name").cast("binary")) % 2 == day).unionByName(rows.where("deleted")).write.mode("append").parquet(lake)
+        found = td.fold_new_files(spark, [lake], state, lambda files: files)
+    return _modified(found)
+
+
 @_register(
     "SELECT 'proj_x' AS source_project_id, table_schema, table_name, "
     f"{_text('storage_last_modified_time')} AS storage_last_modified_time, deleted FROM activity "

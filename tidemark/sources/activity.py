@@ -56,7 +56,8 @@ def listed_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
         F.regexp_replace(F.element_at(steps, -1), r"\.[^.]*$", "").alias("table_name"),
         F.col("modificationTime").alias("storage_last_modified_time"),
         F.col("length").alias("bytes"),
-        F.col("_metadata.file_path").alias("file"),
+        "path",
+        F.col("_metadata.file_path").alias("file"),  # as Parquet scans name it, escaped
     )
 
 
