@@ -1,17 +1,21 @@
 """Exact Jaccard join of word-shingle sets: grouped prefix join.
 
-Documents with equal sets are one class. A global order of shingles puts those first that fall
-into buckets of low counts (counts of all shingles of all documents, in a table of fixed size)
-and hot ones last; a set's prefix is so short that two sets that link must share a shingle of
-their prefixes. Classes with equal size and equal prefix form one group.
+Documents with equal sets are one class. In the global order of shingles a fixed share of them, those
+with the smallest hashes, comes first, from rare to frequent: their counts over all classes are
+exact, from a Spark aggregate. The rest follows by hash. That share is chosen so that a set's prefix, which is
+so short that two sets that link must share a shingle of their prefixes, rarely needs the rest, so
+only the share is ever counted and moved. Shingles of one class only, the rarest, stay in its
+prefix as a number. A class with a prefix of nothing else has no partner and is done. Classes
+with equal size and equal shared prefix form one group.
 
 Candidates are filtered in blocks, so a large family of near copies never becomes rows for all
-its pairs. Each group belongs to a chunk of at most ``chunk`` groups that share their most
-frequent prefix shingle. Chunks meet where groups of theirs share a prefix shingle and their sizes
+its pairs. Classes stand in chunks of at most ``chunk``, those together that share their most
+frequent prefix shingle. Chunks meet where classes of theirs share a prefix shingle and their sizes
 allow a link; the overlap of the prefixes bounds that of the sets, and chunk pairs without a pair
 of groups within the bound are dropped. The others are expanded to classes and verified on the
 whole sets, a pair of chunks at a time: each pair of classes is decided in one place, which adds
-up the links of each class and hands on a forest of them for the components.
+up the links of each class and hands on a forest of them for the components. What a step stored is
+deleted when it is read no more.
 
 A document without words has an empty set and links with nothing. Null text is a text without
 words. A null id takes part in nothing. Documents that share an id are told apart by their sets,
@@ -27,12 +31,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, ranked, stored
+from tidemark.llm.common import components, dropped, ranked, stored
 from tidemark.llm.shingles import mix, shingle_sets
 
-_BITS = 24
-_BUCKETS = 1 << _BITS
-_PARTS = 64
+# how many times a prefix the counted shingles of a set are, on average
+_SLACK = 1.5
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -44,47 +47,14 @@ def _texts(batch: pd.Series) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in batch]
 
 
-def shingle_counts(documents: DataFrame, width: int) -> np.ndarray:
-    """How many shingles of all documents fall into each of 2**24 buckets, as powers of two.
-
-    The table has a fixed size, so its parts are summed by Spark and it is sent whole to the tasks.
-    """
-
-    size = _BUCKETS // _PARTS
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(_BUCKETS, np.uint8)  # 255 stands for that and more
-        for batch in batches:
-            for some in np.array_split(np.arange(len(batch)), max(1, len(batch) // 2000)):
-                sets = shingle_sets(_texts(batch["text"].iloc[some]), width)
-                flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-                at, n = np.unique((flat >> np.uint64(64 - _BITS)).astype(np.int32), return_counts=True)
-                total[at] = np.minimum(255, total[at].astype(np.int64) + n).astype(np.uint8)
-        yield pd.DataFrame({"part": range(_PARTS), "n": [x.tobytes() for x in np.split(total, _PARTS)]})
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:  # a few parts for each task, however many tables are added up
-            for part, n in zip(batch["part"], batch["n"], strict=True):
-                totals.setdefault(part, np.zeros(size, np.int64))
-                totals[part] += np.frombuffer(n, np.uint8)
-        levels = [np.frexp(x.astype(np.float32))[1].astype(np.uint8).tobytes() for x in totals.values()]
-        yield pd.DataFrame({"part": list(totals), "n": levels}).astype({"part": "int32"})
-
-    counted = documents.select("text").mapInPandas(count, "part int, n binary").repartition(_PARTS, "part")
-    levels = counted.mapInPandas(add, "part int, n binary").collect()
-    if not levels:
-        return np.zeros(_BUCKETS, np.uint8)
-    return np.concatenate([np.frombuffer(r["n"], np.uint8) for r in sorted(levels)])
-
-
-def _ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Shingles in global order: levels from low to high, then by hash."""
-    return shingles[np.argsort(levels[(shingles >> np.uint64(64 - _BITS)).astype(np.int64)], kind="stable")]
+def counted_below(percent: int) -> int:
+    """Shingles below this number are counted; numbers are spread evenly over 64 signed bits."""
+    return int(min(1.0, _SLACK * (100 - percent) / 100) * (2**64 - 1)) - 2**63
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
+    """Signed numbers in the same order."""
+    return (x ^ np.uint64(1 << 63)).view(np.int64)
 
 
 def _sums(x: np.ndarray) -> tuple[int, int]:
@@ -93,9 +63,9 @@ def _sums(x: np.ndarray) -> tuple[int, int]:
     return tuple(both.view(np.int64).tolist())
 
 
-def signatures(documents: DataFrame, width: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """doc_id, n, two hashes of the set, a hash of the prefix, and the prefix."""
-    shared = documents.sparkSession.sparkContext.broadcast(levels)
+def signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n, two hashes of the set, its counted shingles and what else its prefix needs, and how many are counted."""
+    below = counted_below(percent)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -103,15 +73,46 @@ def signatures(documents: DataFrame, width: int, percent: int, levels: np.ndarra
             for some in np.array_split(np.arange(len(batch)), max(1, len(batch) // 2000)):
                 ids = batch["doc_id"].iloc[some]
                 for doc, own in zip(ids, shingle_sets(_texts(batch["text"].iloc[some]), width), strict=True):
-                    head = _ordered(own, shared.value)[: prefix_length(len(own), percent)]
-                    out.append((doc, len(own), *_sums(own), _sums(head)[1], _signed(head)))
-            frame = pd.DataFrame(out, columns=["doc_id", "n", "a", "b", "p", "head"])
+                    rising = _signed(own)
+                    counted = int(np.searchsorted(rising, below))
+                    pool = rising[: max(counted, prefix_length(len(own), percent))]
+                    out.append((doc, len(own), *_sums(own), counted, pool))
+            frame = pd.DataFrame(out, columns=["doc_id", "n", "a", "b", "counted", "pool"])
             yield frame.astype({"doc_id": "Int64"})
 
-    kind = "doc_id bigint, n bigint, a bigint, b bigint, p bigint, head array<bigint>"
+    kind = "doc_id bigint, n bigint, a bigint, b bigint, counted bigint, pool array<bigint>"
     return documents.select("doc_id", "text").mapInPandas(sign, kind)
 
 
+def with_prefixes(classes: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Classes whose prefix has shingles of other classes too: these, how frequent the most frequent one is, and the prefix's end.
+
+    Of the prefix's places the shingles that no other class has take the first. (end, end_hash) is the
+    place in the global order of its last shingle.
+    """
+    posting = classes.select("set", F.explode("pool").alias("v"))
+    # stored, so that the join deals both sides anew and Spark can split the rows of a frequent shingle
+    often = posting.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
+    often = stored(often, f"{folder}/often")
+    met = posting.join(often, "v").groupBy("set").agg(F.collect_list(F.struct("c", "v")).alias("met"))
+    met = stored(met, f"{folder}/met")
+    below = F.lit(counted_below(percent)).cast("bigint")
+    first = F.sort_array(F.filter("met", lambda x: x["v"] < below))
+    length = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    rows = classes.join(met, "set").withColumns({"first": first, "beyond": F.filter("met", lambda x: x["v"] >= below)})
+    room = F.greatest(length - (F.col("counted") - F.size("first")), F.lit(0)).cast("int")
+    rows = rows.withColumn("first", F.slice("first", F.lit(1), room))
+    rows = rows.withColumn("head", F.concat("first", "beyond")).where(F.size("head") > 0)
+    whole = F.size("pool") > F.col("counted")
+    return rows.select(
+        *["set", "n", "class", "a", "b", "copies"],
+        F.transform("head", lambda x: x["v"]).alias("head"),
+        F.array_max("head").alias("home"),
+        F.when(whole, F.lit(1 << 62)).otherwise(F.element_at("first", -1)["c"]).alias("end"),
+        F.when(whole, F.element_at("pool", -1)).otherwise(F.element_at("first", -1)["v"]).alias("end_hash"),
+    )
+
+
 def _sets_of(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """The wanted classes (class: the id of a document, a, b: of its set) with their whole sets."""
 
@@ -148,38 +149,30 @@ def _few_missing(percent: int) -> Column:
     return F.col("shared") >= common - F.ceil(percent * n / 100)
 
 
-def _promising(percent: int, levels):
+def _promising(percent: int):
     """Of pairs of chunks, those in which the prefixes of some pair of groups overlap enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
             for r in batch.itertuples(index=False):
-                x, y = list(r.x_head), list(r.y_head)
                 n, m = np.asarray(r.x_n), np.asarray(r.y_n)
-                ends = [_rank([h[-1] for h in side], levels.value) for side in (x, y)]
                 # all of the smaller end's rest may be shared, but nothing of its prefix with the other's rest
-                rest_x, rest_y = (np.array([s - len(h) for s, h in zip(k, side, strict=True)]) for k, side in ((n, x), (m, y)))
-                x_first = (ends[0][0][:, None] < ends[1][0]) | (
-                    (ends[0][0][:, None] == ends[1][0]) & (ends[0][1][:, None] <= ends[1][1])
-                )
-                most = _common(x, y) + np.where(x_first, rest_x[:, None], rest_y)
+                rest_x, rest_y = (-(-percent * sizes // 100) - 1 for sizes in (n, m))
+                end_x, end_y = np.asarray(r.x_end)[:, None], np.asarray(r.y_end)
+                x_first = end_x < end_y
+                x_first |= (end_x == end_y) & (np.asarray(r.x_end_hash)[:, None] <= np.asarray(r.y_end_hash))
+                most = _common(list(r.x_head), list(r.y_head)) + np.where(x_first, rest_x[:, None], rest_y)
                 near = most >= _enough(n[:, None], m[None, :], percent)
                 near &= percent * np.maximum(n[:, None], m) <= 100 * np.minimum(n[:, None], m)
                 if r.low == r.high:
-                    near &= np.tri(len(x), k=-1, dtype=bool) | np.diag(np.asarray(r.x_members) > 1)
+                    near &= np.tri(len(n), k=-1, dtype=bool) | np.diag(np.asarray(r.x_members) > 1)
                 keep.append(bool(near.any()))
             yield batch.loc[keep, ["low", "high"]]
 
     return run
 
 
-def _rank(shingles: list, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where shingles stand in the global order: level, then hash."""
-    x = np.array(shingles, np.int64).view(np.uint64)
-    return levels[(x >> np.uint64(64 - _BITS)).astype(np.int64)], x
-
-
 def _links(percent: int):
     """Links between the classes of two chunks: their numbers by class, and a forest of them."""
 
@@ -254,69 +247,67 @@ def jaccard_join(
     documents: DataFrame, folder: str, width: int = 4, percent: int = 85, chunk: int = 128
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, n_links (other documents it links with), component_id."""
+    spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    levels = shingle_counts(rows, width)
-    signed = stored(signatures(rows, width, percent, levels), f"{folder}/signed")
+    signed = stored(signatures(rows, width, percent), f"{folder}/signed")
     classes = (
         signed.where("n > 0 and doc_id is not null")
         .groupBy("n", "a", "b")
         .agg(
             F.min("doc_id").alias("class"),
             F.count("*").alias("copies"),
-            F.first("p").alias("p"),
-            F.first("head").alias("head"),
+            F.first("counted").alias("counted"),
+            F.first("pool").alias("pool"),
         )
     )
-    classes = stored(classes, f"{folder}/classes")
-    # groups of classes with equal size and prefix, named by their smallest class
-    groups = classes.groupBy("n", "p").agg(
-        F.min("class").alias("gid"), F.count("*").alias("members"), F.first("head").alias("head")
-    )
-    groups = stored(groups, f"{folder}/groups")
-    posting = groups.select("n", "p", "members", F.explode("head").alias("shingle"))
-    often = posting.groupBy("shingle").agg(F.sum("members").alias("c")).where("c > 1")
-    posting = stored(posting.join(often, "shingle").drop("members"), f"{folder}/posting")
-
-    # chunks: groups that share their most frequent prefix shingle, in order, so many at a time
-    home = posting.groupBy("n", "p").agg(F.max(F.struct("c", "shingle")).alias("h"))
-    home = ranked(home.select("n", "p", F.col("h.shingle").alias("home")), ["home", "n", "p"], f"{folder}/home")
-    cid = F.xxhash64("home", F.floor(F.col("rank") / chunk))
-    home = stored(home.select("n", "p", cid.alias("cid")), f"{folder}/chunks")
-    lists = posting.join(home, ["n", "p"]).groupBy("shingle", "cid").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("own")
-    )
+    classes = stored(classes.withColumn("set", F.xxhash64("n", "a", "b")), f"{folder}/pools")
+    signed = stored(signed.select("doc_id", "n", "a", "b"), f"{folder}/sets-of-ids")
+    dropped(spark, f"{folder}/signed")
+    found = with_prefixes(classes, percent, folder)
+    # chunks: classes that share their most frequent prefix shingle, in order, so many at a time
+    group = F.xxhash64("n", "head", "end", "end_hash")
+    found = ranked(found.withColumn("group", group), ["home", "n", "group", "set"], f"{folder}/home")
+    cid = F.xxhash64("home.v", F.floor(F.col("rank") / chunk))
+    found = stored(found.withColumn("cid", cid).drop("home", "rank"), f"{folder}/chunks")
+    classes = stored(classes.drop("pool", "counted", "set"), f"{folder}/classes")
+    for step in ("pools", "often", "met", "home"):
+        dropped(spark, f"{folder}/{step}")
+    lists = found.select("cid", "n", F.explode("head").alias("v")).groupBy("v", "cid").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     lists = stored(lists, f"{folder}/lists")
-    other = lists.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("cid", "least", "most")])
+    other = lists.select("v", *[F.col(c).alias(f"o_{c}") for c in ("cid", "least", "most")])
     fits = f"{percent} * least <= 100 * o_most and {percent} * o_least <= 100 * most"
-    met = lists.join(other, "shingle").where("cid < o_cid").where(fits)
+    met = lists.join(other, "v").where("cid < o_cid").where(fits)
     met = met.select(F.col("cid").alias("low"), F.col("o_cid").alias("high"))
     # how many prefix shingles two chunks share bounds what two groups of theirs do; most pairs share too few
     met = met.groupBy("low", "high").agg(F.count("*").alias("shared"))
-    sizes = home.groupBy("cid").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    sizes = found.groupBy("cid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("members"))
+    sizes = stored(sizes, f"{folder}/sizes")
     for side in ("low", "high"):
         met = met.join(sizes.select(F.col("cid").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("least", "most")]), side)
     met = met.where(_few_missing(percent)).select("low", "high")
-    alone = home.join(groups.select("n", "p", "members"), ["n", "p"]).groupBy("cid").agg(F.sum("members").alias("s"))
-    alone = alone.where("s > 1").select(F.col("cid").alias("low"), F.col("cid").alias("high"))
+    alone = sizes.where("members > 1").select(F.col("cid").alias("low"), F.col("cid").alias("high"))
     pairs = stored(met.unionByName(alone), f"{folder}/pairs")
 
-    shared = documents.sparkSession.sparkContext.broadcast(levels)
-    heads = home.join(groups, ["n", "p"]).groupBy("cid").agg(F.collect_list(F.struct("n", "members", "head")).alias("g"))
-    heads = stored(heads.select("cid", "g.n", "g.members", "g.head"), f"{folder}/heads")
+    facts = ("n", "head", "end", "end_hash")
+    heads = found.groupBy("cid", "group").agg(F.count("*").alias("members"), *[F.first(c).alias(c) for c in facts])
+    heads = heads.groupBy("cid").agg(F.collect_list(F.struct("members", *facts)).alias("g"))
+    heads = stored(heads.select("cid", *[F.col(f"g.{c}").alias(c) for c in ("members", *facts)]), f"{folder}/heads")
     x, y = (heads.select(*[F.col(c).alias(f"{side}_{c}") for c in heads.columns]) for side in "xy")
-    tried = pairs.join(x, F.col("low") == F.col("x_cid")).join(y, F.col("high") == F.col("y_cid"))
-    tried = tried.select("low", "high", "x_n", "x_members", "x_head", "y_n", "y_head")
-    tried = tried.mapInPandas(_promising(percent, shared), "low bigint, high bigint")
-    tried = stored(tried, f"{folder}/promising")
+    tried = pairs.join(x, F.col("low") == F.col("x_cid")).join(y, F.col("high") == F.col("y_cid")).drop("x_cid", "y_cid", "y_members")
+    tried = stored(tried.mapInPandas(_promising(percent), "low bigint, high bigint"), f"{folder}/promising")
+    for step in ("lists", "sizes", "pairs", "heads"):
+        dropped(spark, f"{folder}/{step}")
 
     asked = tried.select(F.col("low").alias("cid")).unionByName(tried.select(F.col("high").alias("cid"))).distinct()
-    wanted = classes.select("n", "p", "class", "a", "b", "copies").join(home.join(asked, "cid"), ["n", "p"])
+    wanted = found.select("class", "a", "b", "cid", "copies").join(asked, "cid")
     wanted = stored(wanted.select("class", "a", "b", "cid", "copies"), f"{folder}/wanted")
     sets = stored(_sets_of(rows, wanted, width), f"{folder}/sets")
     sides = tried.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("cid"))
     linked = sides.join(sets, "cid").groupBy("low", "high")
     columns = "class bigint, a bigint, b bigint, links bigint, to bigint"
     linked = stored(linked.applyInPandas(_links(percent), columns), f"{folder}/linked")
+    for step in ("chunks", "promising", "wanted", "sets"):
+        dropped(spark, f"{folder}/{step}")
     edges = linked.where("class <> to").select(F.col("class").alias("a"), F.col("to").alias("b"))
     # rows of one id with different sets are one node
     comps = stored(components(_with_shared_ids(edges, signed, classes), f"{folder}/components"), f"{folder}/labels")
