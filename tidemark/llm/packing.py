@@ -14,10 +14,9 @@ A piece's place follows from its rank among the pieces of its length: ranks are
 combinations in ranges. Pieces are ranked by one range-sort, so a length that a third of all
 documents share is spread over the tasks.
 
-Ids come from a byte-level BPE. Units of text that no token spans (a space and the word after it)
-are looked up in a table kept by the task, of bounded size; unknown ones are encoded from the same
-vocabulary as ranks. Texts with runs of white space, special tokens or letters beyond Latin go to
-the tokenizer itself. Tests hold both against the tokenizer on whole tables.
+Ids come from a byte-level BPE. Its vocabulary as ranks encodes most texts, each as a whole. Texts with runs of
+white space, special tokens, letters beyond Latin or very long words go to the tokenizer itself. Tests hold both
+against the tokenizer on whole tables.
 
 Null and empty texts consist of the end id alone. Rows that repeat an id are packed each. Other
 columns are ignored. No rows: no result.
@@ -40,13 +39,14 @@ from tidemark.llm.common import held, ranked, stored
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 END = 1
-_UNITS = 400_000
-# outside of these, or where white space runs on, a unit alone may be cut in another way
+# a longer stretch without a blank takes the ranks more time than the tokenizer
+_UNIT = 1000
+# outside of these, or where white space runs on, the ranks may cut in another way
 _ODD = re.compile(r" \s| $|[^\x09-\x0d\x20-\x7e\xa1-ɏ]|<\|")
 
 
 class Encoder:
-    """Token ids of texts, with a table of the units seen."""
+    """Token ids of texts."""
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str) -> None:
         import tiktoken
@@ -55,61 +55,12 @@ class Encoder:
         self.whole = Tokenizer.from_file(vocabulary)
         with open(ranks, "rb") as lines:
             known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.units = tiktoken.Encoding("units", pat_str=pattern, mergeable_ranks=known, special_tokens={})
-        self._clear()
-
-    def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.first, self.size = np.zeros(_UNITS + 1, np.int64), np.zeros(_UNITS + 1, np.int64)
-
-    def _learn(self, units: list[str]) -> None:
-        for unit in units:
-            ids = self.units.encode_ordinary(unit)
-            if self.used + len(ids) > len(self.flat):
-                grown = np.zeros(max(2 * len(self.flat), self.used + len(ids)), np.uint32)
-                grown[: self.used] = self.flat[: self.used]
-                self.flat = grown
-            at = len(self.place)
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.first[at], self.size[at] = self.used, len(ids)
-            self.used += len(ids)
-            self.place[unit] = at
+        self.ranks = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        if _ODD.search(text):
+        if text and (_ODD.search(text) or max(map(len, text.split(" "))) > _UNIT):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        head, *tail = text.split(" ")
-        # a unit is kept without its leading space; the first has none
-        place = self.place
-        try:
-            at = [place[unit] for unit in tail]
-        except KeyError:
-            new = [x for x in dict.fromkeys(tail) if x not in place]
-            if len(new) > _UNITS or max(map(len, new)) > 1000:
-                return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-            if len(place) + len(new) > _UNITS:
-                self._clear()
-                return self.ids(text)
-            self._learn_spaced(new)
-            at = [place[unit] for unit in tail]
-        begin = np.array(self.units.encode_ordinary(head), np.uint32)
-        if not at:
-            return begin
-        places = np.array(at)
-        size, first = self.size[places], self.first[places]
-        ends = np.cumsum(size)
-        spots = np.arange(ends[-1]) + np.repeat(first - (ends - size), size)
-        return np.concatenate([begin, self.flat[spots]])
-
-    def _learn_spaced(self, units: list[str]) -> None:
-        before = len(self.place)
-        self._learn([f" {x}" for x in units])
-        for at, unit in enumerate(units, before):
-            del self.place[f" {unit}"]
-            self.place[unit] = at
+        return np.array(self.ranks.encode_ordinary(text), np.uint32)
 
 
 def pieces(documents: DataFrame, vocabulary: str, ranks: str, pattern: str, window: int) -> DataFrame:
@@ -118,7 +69,6 @@ def pieces(documents: DataFrame, vocabulary: str, ranks: str, pattern: str, wind
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files = vocabulary, ranks, pattern
         encoder = held(("encoder", *files), lambda: Encoder(*files))
-        end = np.array([END], np.uint32)
         for batch in batches:
             out = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
