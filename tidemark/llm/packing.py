@@ -72,7 +72,7 @@ def pieces(documents: DataFrame, vocabulary: str, ranks: str, pattern: str, wind
         for batch in batches:
             out = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.concatenate([encoder.ids(text or ""), end]).astype("<u4")
+                ids = np.append(encoder.ids(text or ""), np.uint32(END)).astype("<u4", copy=False)
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     out.append((doc, start, len(part), zlib.crc32(part), len(ids)))
