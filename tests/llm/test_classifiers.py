@@ -38,6 +38,46 @@ def test_unseen_misspellings_share_their_grams():
     assert max(scorer.score(w) for w in ("", "tano relimu muli re", "zzz")) < 0.5
 
 
+def test_score_is_that_of_the_worst_window():
+    rows = corpus()
+    model = train([t for _, t, _ in rows[:300]], np.array([y for _, _, y in rows[:300]]))
+    scorer = Scorer(model)
+    rng = random.Random(4)
+    texts = [t for _, t, _ in rows[300:340]] + ["ta " * 500, "ta " * 70 + "no " * 70 + "ta"]
+    texts.append(" ".join(rng.choice("abcdefghij") * 3 for _ in range(400)))
+    for text in texts:
+        words = text.lower().split()
+        left = [w for i, w in enumerate(words) if w not in words[max(0, i - 64) : i]]
+        worst = -np.inf
+        for start in range(0, max(1, len(left) - 4), 4):
+            window = left[start : start + 8]
+            worst = max(worst, float(np.mean([model.words([w])[0] for w in window])))
+        assert scorer.score(text) == pytest.approx(1 / (1 + np.exp(-(worst + model.bias))), abs=1e-6)
+
+
+def test_a_passage_counts_wherever_its_words_stood_before():
+    rows = corpus()
+    scorer = Scorer(train([t for i, t, _ in rows if i % 5], np.array([y for i, _, y in rows if i % 5])))
+    rng = random.Random(6)
+    clean = [t for i, t, y in rows if not y and i % 5 == 0 and len(t.split()) > 100]
+    passage = "grumpf blorghta grumpfs blorghxx grumpfta blorghs grumpfxx blorgh"
+    for text in clean:
+        words = text.split()
+        for word in passage.split():
+            words.insert(rng.randrange(len(words) + 1), word)
+        far = " ".join(rng.choice(["tano", "relimu", "muli", "renota", "lili"]) for _ in range(70))
+        assert scorer.score(" ".join([*words, far, passage])) > 0.5
+
+
+def test_neither_label_falls_out_of_the_sample(spark):
+    """Toxic texts that are all very long are learned from as well as short ones."""
+    long = [(i, (t + " ") * (1 if not y else 1 + 30_000 // len(t)), "en", "s", 0) for i, t, y in corpus()]
+    model = fitted(spark.createDataFrame(long, DOCS), spark.createDataFrame([(i, 1, y) for i, _, y in corpus()], LABELS))
+    scorer = Scorer(model)
+    right = [(scorer.score(t) >= 0.5) == bool(y) for i, t, y in corpus() if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(right) / len(right) > 0.95
+
+
 def test_scores_of_a_table(spark, tmp_path):
     rows = [(i, t, "en", "s", 0) for i, t, _ in corpus()]
     odd = [(9000, None, None, None, None), (9001, "", "en", "s", 0), (9002, "x" * 300_000, "en", "s", 1), (None, "ta", "en", "s", 1), (0, "again", "en", "s", 1)]

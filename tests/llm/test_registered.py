@@ -60,3 +60,12 @@ def test_stages_take_odd_rows(spark, tmp_path):
             stage(spark, docs, SF).write.parquet(path)
             docs = spark.read.parquet(path)
         assert {r.doc_id for r in docs.collect()} == ({1, 2, 3, None} if given else set())
+
+
+def test_unlike_texts_under_one_id_stay(spark):
+    words = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(2, words("a")), (2, words("b")), (2, words("b")), (3, words("a")), (1, words("b") + " more"), (4, words("c")), (None, words("c")), (5, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, SF).collect()]
+    assert Counter(t for _, t in got if t) == {words("a"): 1, words("b") + " more": 1, words("c"): 2}
+    assert {i for i, t in got if t == words("a")} <= {2, 3} and {i for i, t in got if not t} == {5}

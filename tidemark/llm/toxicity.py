@@ -1,8 +1,9 @@
 """Toxicity: subword-bag embeddings, averaged, into a linear softmax.
 
 A word is a bag of its character n-grams, with marks at both ends, and of itself; each of them that
-occurs often enough in training has a vector in a hashed table, the others are zero. A window of words is the average of its words' vectors,
-each word of a document counting once, where it first occurs; a linear softmax on top
+occurs often enough in training has a vector in a hashed table, the others are zero. A window of words is the
+average of its words' vectors; words that came among the 64 before do not count again, those that
+stood further back do, so a toxic passage counts wherever it stands. A linear softmax on top
 tells toxic from clean, and both are trained jointly in numpy. A misspelling that was never seen
 shares most of its n-grams with known words, so it gets nearly their vector.
 
@@ -10,9 +11,10 @@ A few words make a long document toxic, so a document's score is that of its wor
 training knows it: every window of a clean document is clean, and of a toxic one, after a first
 phase that takes all of its windows, the one that scores highest is toxic.
 
-Training uses a bounded sample of the labelled documents, ``sample`` of each label, the ones with
-the smallest hash of the id; documents whose crc32 of the id leaves 0 when divided by 5 are held
-out. Only text enters the model. The model, of fixed size, goes to the tasks as one number for each
+Training uses a bounded sample of the labelled documents, up to ``sample`` of each label in order of
+a hash of the id; a text of more than ``longest`` characters counts by as many, in stretches that are
+spread over it. Documents whose crc32 of the id leaves 0 when divided by 5 are held
+out (a null id counts as an empty text, which is). Only text enters the model. The model, of fixed size, goes to the tasks as one number for each
 n-gram: the softmax of two classes needs only the difference of its inputs.
 
 Null and empty texts, and texts of unknown n-grams only, score 0.27, as the fixed bias says. Rows that repeat an id are scored
@@ -34,14 +36,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import held
 
 WINDOW = 8
+APART = 64
 BITS = 22
 GRAMS = (3, 4, 5)
 LEAST = 5
 _KNOWN = 200_000
+_AT_ONCE = 10_000
+
+
+_STRETCH = 2000
 
 
 def held_out(key: str = "doc_id"):
-    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
 def gram_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +85,17 @@ class Model:
         return np.bincount(word, self.weights[grams], len(words)) / np.bincount(word, minlength=len(words))
 
 
+def fresh(words: list[str]) -> list[str]:
+    """The words without those that came among the ``APART`` before them."""
+    last: dict[str, int] = {}
+    out = []
+    for at, word in enumerate(words):
+        if at - last.get(word, -APART - 1) > APART:
+            out.append(word)
+        last[word] = at
+    return out
+
+
 def windows_of(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the windows of n words: each overlaps half of the next."""
     starts = np.arange(0, max(1, n - WINDOW // 2), WINDOW // 2)
@@ -89,7 +107,7 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, turns: tuple[int,
     number: dict[str, int] = {}
     flat, first, last, owner = [], [], [], []
     for doc, text in enumerate(texts):
-        own = [number.setdefault(w, len(number)) for w in dict.fromkeys(text.lower().split())]
+        own = [number.setdefault(w, len(number)) for w in fresh(text.lower().split())]
         a, b = windows_of(len(own))
         first += (a + len(flat)).tolist()
         last += (b + len(flat)).tolist()
@@ -100,7 +118,11 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, turns: tuple[int,
     words, first, last, owner = np.array(flat), np.array(first), np.array(last), np.array(owner)
     some = last > first
     first, last, owner = first[some], last[some], owner[some]
-    grams, gram_word = gram_ids(list(number))
+    names = list(number)
+    parts = [(at, *gram_ids(names[at : at + _AT_ONCE])) for at in range(0, len(names), _AT_ONCE)]
+    grams = np.concatenate([g.astype(np.int32) for _, g, _ in parts])
+    gram_word = np.concatenate([(w + at).astype(np.int32) for at, _, w in parts])
+    del parts
     order = np.argsort(gram_word, kind="stable")
     grams, gram_word = grams[order], gram_word[order]
     n_grams = np.bincount(gram_word, minlength=len(number))
@@ -172,17 +194,17 @@ def training_rows(documents: DataFrame, labels: DataFrame, sample: int) -> DataF
     return found.where("text is not null").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
-def fitted(documents: DataFrame, labels: DataFrame, sample: int = 600, most_chars: int = 2_500_000) -> Model:
-    """A model from a bounded sample; of its texts, in order of id, as many as ``most_chars`` allow."""
-    rows = training_rows(documents, labels, sample)
-    size = F.length("text")
-    short = rows.select("doc_id", "toxic", size.alias("n")).orderBy("doc_id").collect()
-    total = sum(r["n"] for r in short)
-    longest = max((r["n"] for r in short), default=0)
-    while total > most_chars:  # long texts first
-        longest = longest // 2
-        total = sum(r["n"] for r in short if r["n"] <= longest)
-    data = rows.where(size <= longest).orderBy("doc_id").select("text", "toxic").collect()
+def fitted(documents: DataFrame, labels: DataFrame, sample: int = 600, longest: int = 4000) -> Model:
+    """A model from a bounded sample: texts in order of a hash of the id, as many of either label.
+
+    A longer text than ``longest`` characters counts by stretches of it, evenly spread, so neither
+    label and no length of texts can fall out of the sample.
+    """
+    size, parts = F.length("text"), max(1, longest // _STRETCH)
+    starts = F.array(*[F.floor(i * (size - _STRETCH) / max(1, parts - 1)).cast("int") + 1 for i in range(parts)])
+    spread = F.array_join(F.transform(starts, lambda at: F.substring("text", at, F.lit(_STRETCH))), " ")
+    rows = training_rows(documents, labels, sample).withColumn("text", F.when(size > max(longest, _STRETCH), spread).otherwise(F.col("text")))
+    data = rows.orderBy("doc_id").select("text", "toxic").collect()
     toxic = np.array([r["toxic"] for r in data], np.int64)
     if len(set(toxic.tolist())) < 2:
         return Model(np.zeros(1 << BITS, np.float32), -np.inf)
@@ -196,7 +218,7 @@ class Scorer:
         self.model, self.known = model, {}
 
     def score(self, text: str) -> float:
-        words = list(dict.fromkeys(text.lower().split()))
+        words = fresh(text.lower().split())
         if not words:
             return _chance(self.model.bias)
         known = self.known
@@ -207,8 +229,8 @@ class Scorer:
             if len(known) + len(new) > _KNOWN:
                 known.clear()
                 new = list(dict.fromkeys(words))
-            for at in range(0, len(new), 10_000):
-                some = new[at : at + 10_000]
+            for at in range(0, len(new), _AT_ONCE):
+                some = new[at : at + _AT_ONCE]
                 known.update(zip(some, self.model.words(some).tolist(), strict=True))
             values = [known[w] for w in words]
         total = np.concatenate([[0.0], np.cumsum(values)])
