@@ -7,7 +7,7 @@ columns of ``documents``. Columns beyond these five are dropped at the start.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import scratch, stored, table
@@ -38,11 +38,26 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, at 80 percent of five-word shingles, the smallest id; null ids stay."""
+    """Of each group of near copies, at 80 percent of five-word shingles, the smallest id; null ids stay.
+
+    Unlike texts under one id are documents of their own: the one with the smallest hash has the id as its
+    key, each other one a key after all ids. Equal texts under one id are one document.
+    """
     docs = docs.select(*COLUMNS)
-    found = jaccard_join(docs, scratch(spark), 5, 80).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(found, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id is null"))
+    named = docs.where("doc_id is not null").select("*", F.xxhash64("text").alias("_text"))
+    first = named.groupBy("doc_id").agg(F.min("_text").alias("_first"), F.max("_text").alias("_last"))
+    first = first.where("_first <> _last").select("doc_id", "_first")
+    other = F.xxhash64("doc_id", "_text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    key = F.when(F.col("_first").isNull() | (F.col("_text") == F.col("_first")), F.col("doc_id")).otherwise(other)
+    folder = scratch(spark)
+    keys = named.select("doc_id", "_text").distinct().join(first, "doc_id").select("doc_id", "_text", key.alias("_key"))
+    keys = stored(keys.where("_key <> doc_id"), f"{folder}/keys")  # as many as ids with unlike texts have
+    named = named.join(keys, ["doc_id", "_text"], "left").withColumn("_key", F.coalesce("_key", "doc_id"))
+    found = jaccard_join(named.select(F.col("_key").alias("doc_id"), "text"), f"{folder}/join", 5, 80)
+    found = found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    order = Window.partitionBy("_key").orderBy("source", "lang", "n_chars")
+    kept = named.join(found, "_key").withColumn("_nth", F.row_number().over(order)).where("_nth = 1")
+    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
