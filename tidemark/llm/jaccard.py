@@ -36,6 +36,7 @@ from tidemark.llm.shingles import mix, shingle_sets
 
 # how many times a prefix the counted shingles of a set are, on average
 _SLACK = 1.5
+_SLOTS = 1 << 20
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -125,7 +126,11 @@ def _sets_of(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 out = rows.assign(set=[_signed(x).tobytes() for x in sets])[own]
                 yield out[["class", "a", "b", "cid", "copies", "set"]]
 
-    rows = documents.join(wanted, F.col("doc_id") == F.col("class"))
+    # texts move only where their id shares a slot with a wanted one; there are _SLOTS of them at most
+    slot = F.xxhash64("doc_id").bitwiseAND(F.lit(_SLOTS - 1)).alias("slot")
+    slots = wanted.select(F.col("class").alias("doc_id")).select(slot).distinct()
+    some = documents.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+    rows = some.join(wanted, F.col("doc_id") == F.col("class"))
     rows = rows.select("class", "a", "b", "cid", "copies", "text")
     return rows.mapInPandas(read, "class bigint, a bigint, b bigint, cid bigint, copies bigint, set binary")
 
@@ -244,7 +249,7 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 
 def jaccard_join(
-    documents: DataFrame, folder: str, width: int = 4, percent: int = 85, chunk: int = 128
+    documents: DataFrame, folder: str, width: int = 4, percent: int = 85, chunk: int = 512
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, n_links (other documents it links with), component_id."""
     spark = documents.sparkSession
