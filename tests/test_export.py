@@ -4,6 +4,9 @@ import json
 from datetime import datetime
 from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
 import tidemark as td
 
 NEVER_SEEN = "No latency violations found - all tables are up to date! ✅"
@@ -56,6 +59,40 @@ def test_one_folder_per_route(spark, tmp_path):
             assert sorted(json.loads(r.l) for r in back.filter("is_default = 'true'").collect()) == [["p"], ["p", "q"]]
 
 
+def routed_rows(spark, *names):
+    rules = td.rules_from_json(spark, '{"a b": "C1,C2", "default": "C0"}')
+    return td.route(spark.createDataFrame([(n, n == "a b") for n in names], "table_schema string, l boolean"), rules)
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "json", "csv"])
+def test_a_report_is_read_by_its_manifest(spark, tmp_path, file_format):
+    target = str(tmp_path / "report")
+    td.publish_report(routed_rows(spark, "a b", "x", "y", "z"), target, file_format, rows_per_file=2)
+    rows = {(r.route, r.table_schema) for r in td.read_report(spark, target).collect()}
+    assert rows == {("match:C1,C2", "a b"), *(("default:C0", n) for n in ("a b", "x", "y", "z"))}
+    manifest = td.report_manifest(spark, target).collect()
+    assert sum(r.rows for r in manifest) == 5 and max(r.rows for r in manifest) <= 2 and {r.format for r in manifest} == {file_format}
+    assert {r.table_schema for r in td.read_report(spark, target, ["match:C1,C2"]).collect()} == {"a b"}
+    with pytest.raises(ValueError):
+        td.read_report(spark, target, ["no such route"])
+    # a file that no manifest names is no part of the report
+    (folder,) = {Path(r.path.removeprefix("file:")).parent for r in manifest if r.route == "match:C1,C2"}
+    (folder / f"part-stray.{file_format}").write_bytes(next(folder.glob("part-*")).read_bytes())
+    assert {(r.route, r.table_schema) for r in td.read_report(spark, target).collect()} == rows
+
+
+def test_a_report_that_fails_leaves_the_one_before(spark, tmp_path):
+    target = str(tmp_path / "report")
+    td.publish_report(routed_rows(spark, "x", "y"), target)
+    broken = routed_rows(spark, "x", "z").withColumn("l", F.expr("if(table_schema = 'z', raise_error('broken'), l)"))
+    with pytest.raises(Exception, match="broken"):
+        td.publish_report(broken, target)
+    assert {r.table_schema for r in td.read_report(spark, target).collect()} == {"x", "y"}
+    td.publish_report(routed_rows(spark).where("false"), target)
+    assert td.read_report(spark, target).columns == ["message"]
+    assert [(r.route, r.rows) for r in td.report_manifest(spark, target).collect()] == [(None, 1)]
+
+
 def test_message_file_when_nothing_is_stale(spark, tmp_path):
     routed = spark.createDataFrame([], "route string, table_schema string")
     td.write_report_or_message(routed, str(tmp_path / "r"))

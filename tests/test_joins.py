@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import spread_left_join
+from tidemark.operators.joins import heavy_keys, spread_left_join
 
 
 @pytest.fixture
@@ -51,3 +51,18 @@ def test_equal_rows_under_one_key_are_dealt_out(spark, conf):
     assert Counter(map(tuple, joined.collect())) == {("orders", "same"): 1000, ("other", None): 1}
     tasks = joined.filter("k = 'orders'").select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks > 4  # of 8
+
+
+def test_two_keys_of_other_types(spark):
+    left = spark.range(40).select((F.col("id") % 4).alias("n"), F.when(F.col("id") % 5 > 0, F.concat(F.lit('"x'), F.col("id") % 3)).alias("t"), "id")
+    right = spark.range(300).select((F.col("id") % 2).alias("n"), F.when(F.col("id") % 7 > 0, F.concat(F.lit('"x'), F.col("id") % 2)).alias("t"), F.col("id").alias("fact"))
+    expected = Counter(map(tuple, left.join(right, ["n", "t"], "left").select("n", "t", "id", "fact").collect()))
+    assert Counter(map(tuple, spread_left_join(left, right, ["n", "t"], 5).collect())) == expected
+
+
+def test_only_heavy_keys_are_named(spark):
+    right = spark.range(10_000).select(F.when(F.col("id") < 4000, F.lit("big")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    assert heavy_keys(right, ["k"], 1000) == {"big": 4}
+    assert heavy_keys(right, ["k"], 5000) == {} and heavy_keys(right.limit(0), ["k"]) == {}
+    plain = spread_left_join(right, right.withColumnRenamed("id", "other"), ["k"], 5000)
+    assert "explode" not in plain._jdf.queryExecution().optimizedPlan().toString(), "without heavy keys it is the plain join"

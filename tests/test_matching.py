@@ -109,3 +109,52 @@ def test_a_piece_in_a_third_of_all_names(spark):
     got = td.match_thresholds(tables, rules, 8).filter("table_pattern is not null")
     names = [f"hot_{i}" for i in range(0, 3000, 3)]
     assert got.count() == sum(n.endswith(str(k)) for n in names for k in range(100))
+
+
+REGEXES = [
+    "^(click|view)_12", "a(b|c)d|efg$", "ab?c", "ab*cd", "ab+cd", "x{2}yz", "x{0,1}yz", "[abc]de", "a.c", "\\d+x", "a\\.b", "(ab)?cd", "(?:ab)+cd", "(a(b(c)))d",
+    "(?i)abc", "a|", "", "^$", "a\\Q.\\Eb", "[]a]b", "(?=ab)a", "a[^b]c", "ab|[cd]", "\\(ab\\)", "é+l", "a\\|b", "ab{2}c|d+e", "\\(?ab", "a(?:b|)c",
+]
+
+
+def test_pieces_are_in_every_match(spark):
+    """What a pattern finds holds a piece of it; which patterns have pieces is as expected."""
+    from tidemark.operators.matching import literal_pieces
+
+    patterns = spark.createDataFrame([(p,) for p in REGEXES], "pattern string")
+    keys = {}
+    for p, key in literal_pieces(patterns).collect():
+        keys.setdefault(p, set()).add(key)
+    rng = random.Random(11)
+    ids = ["".join(rng.choice("abcdefgxyz_12.(|)é") for _ in range(rng.randint(0, 7))) for _ in range(30_000)]
+    ids += ["click_12", "view_123", "abc", "ac", "acd", "abbcd", "xxyz", "yz", "ade", "a.b", "cd", "ababcd", "abcd", "éél", "(ab)", "a|b", "ABC"]
+    for p in REGEXES:
+        for i in ids:
+            if p in keys and re.search(p, i):
+                assert any(key in i for key in keys[p]), (p, i)
+    without = {p for p in REGEXES if p not in keys}
+    assert without == {"(?i)abc", "a|", "", "^$", "a\\Q.\\Eb", "[]a]b", "(?=ab)a", "ab|[cd]", "\\(?ab"}
+
+
+@pytest.mark.parametrize("nested_loop_rules", [10_000, 0])
+def test_regex_join_equals_brute_force(spark, nested_loop_rules):
+    from tidemark.operators.matching import match_regex
+
+    patterns = [p for p in REGEXES if p not in ("a\\Q.\\Eb", "[]a]b")]
+    rng = random.Random(12)
+    ids = ["".join(rng.choice("abcdexy_12.é") for _ in range(rng.randint(0, 6))) for _ in range(300)] + ["click_12", "ABC", None]
+    df = spark.createDataFrame([(i,) for i in ids], "id string")
+    rules = spark.createDataFrame([(p, n) for n, p in enumerate(patterns)], "pattern string, n int")
+    got = {(r.id, r.pattern) for r in match_regex(df, rules, "id", nested_loop_rules).collect()}
+    assert got == {(i, p) for i in ids if i is not None for p in patterns if re.search(p, i)}
+
+
+def test_candidates_grow_with_what_matches(spark):
+    """A piece that many patterns share is not the one that ids meet them by."""
+    from tidemark.operators.matching import candidate_pairs, literal_pieces
+
+    patterns = spark.createDataFrame([(f"^(click|view)_{n:03d}x?$",) for n in range(400)], "pattern string")
+    ids = spark.createDataFrame([(f"click_{n:03d}",) for n in range(400)], "id string")
+    pairs = candidate_pairs(ids, literal_pieces(patterns), "id").collect()
+    assert {(f"click_{n:03d}", f"^(click|view)_{n:03d}x?$") for n in range(400)} <= set(map(tuple, pairs))
+    assert len(pairs) < 10 * 400

@@ -13,6 +13,9 @@ from tidemark.operators.export import (
     column_widths,
     empty_report,
     export_rows,
+    publish_report,
+    read_report,
+    report_manifest,
     write_report,
     write_report_or_message,
 )

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.time import iso_text
 from tidemark.presets import ALL_CLEAR_REPORT, WIDTH_CAP, WIDTH_PADDING
+from tidemark.sources.activity import listed_files
+from tidemark.sources.versions import commit, current, new_version
+
+ROWS_PER_FILE = 1_000_000
+_MANIFEST = "_manifest"
 
 
 def _plain(df: DataFrame, field: T.StructField) -> Column:
@@ -63,22 +70,63 @@ def empty_report(records: DataFrame) -> DataFrame:
     return some.filter(F.col("n") == 0).select(F.lit(ALL_CLEAR_REPORT).alias("message"))
 
 
-def write_report(routed: DataFrame, path: str, file_format: str = "parquet") -> None:
+def write_report(routed: DataFrame, path: str, file_format: str = "parquet", rows_per_file: int = ROWS_PER_FILE) -> None:
     """One folder per route, replaced as a whole.
 
     The rebalance gathers each route's rows into files of a sensible size and splits
-    a route that holds a large share of all rows over several tasks.
+    a route that holds a large share of all rows over several tasks. No file has more rows than ``rows_per_file``.
     """
     rows = export_rows(routed, arrays_as_text=file_format == "csv")
     writer = rows.hint("rebalance", F.col("route")).write.mode("overwrite").partitionBy("route")
     if file_format == "csv":
         writer = writer.option("header", True)
-    writer.format(file_format).save(path)
+    writer.option("maxRecordsPerFile", rows_per_file).format(file_format).save(path)
 
 
-def write_report_or_message(routed: DataFrame, path: str, file_format: str = "parquet") -> None:
+def write_report_or_message(
+    routed: DataFrame, path: str, file_format: str = "parquet", rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Write the report, or the message if there is nothing to report."""
     if routed.isEmpty():
         empty_report(routed).write.mode("overwrite").format(file_format).save(path)
     else:
-        write_report(routed, path, file_format)
+        write_report(routed, path, file_format, rows_per_file)
+
+
+def publish_report(routed: DataFrame, target: str, file_format: str = "parquet", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write the report, or the message, as a new version of the target, with a manifest of its files.
+
+    The manifest (route, path, rows, format) is worked out from the files themselves, and lies with them. A
+    reader sees the report before until the manifest is there too; a write that fails leaves that report.
+    """
+    spark = routed.sparkSession
+    version = new_version(spark, target)
+    write_report_or_message(routed, version, file_format, rows_per_file)
+    files = spark.read.option("header", True).format(file_format).load(version)
+    route = F.col("route").cast("string") if "route" in files.columns else F.lit(None).cast("string")
+    counts = files.groupBy(route.alias("route"), F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    listed = listed_files(spark, [version]).select("file", "path")
+    manifest = listed.join(counts, "file").select("route", "path", "rows", F.lit(file_format).alias("format"))
+    manifest.coalesce(1).write.parquet(f"{version}/{_MANIFEST}")
+    commit(spark, version)
+
+
+def report_manifest(spark: SparkSession, target: str) -> DataFrame:
+    """Route, path, rows and format of each file of the published report."""
+    return spark.read.parquet(f"{current(spark, target)}/{_MANIFEST}")
+
+
+def read_report(spark: SparkSession, target: str, routes: Sequence[str] | None = None) -> DataFrame:
+    """The rows of the published report, or of some of its routes: the files that the manifest names, no others.
+
+    Raises ValueError if there is no file for any of these routes.
+    """
+    version = current(spark, target)
+    listed = spark.read.parquet(f"{version}/{_MANIFEST}")
+    if routes is not None:
+        listed = listed.where(F.col("route").isin(list(routes)))
+    files = listed.select("path", "format").collect()  # as many as the report has files
+    if not files:
+        raise ValueError(f"no report for {routes}")
+    reader = spark.read.option("basePath", version).option("header", True).format(files[0]["format"])
+    return reader.load([r["path"] for r in files])

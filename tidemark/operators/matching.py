@@ -168,14 +168,16 @@ def _match_by_piece(named: DataFrame, rules: DataFrame) -> DataFrame:
     by key, and a table nothing fits, or without a name, stays one row.
     """
     anchored = stored(_with_tests(_with_anchor(rules)))
-    # Six kinds of pieces at most: placed or not, and three sizes. No size: wildcards only.
-    kinds = anchored.select((F.col("at") > 0).alias("placed"), F.length("piece").alias("size")).distinct().collect()
+    # The places are those within one pattern's length, and there are three sizes. No size: wildcards only.
+    kinds: dict[tuple[bool, int], list[int]] = {}
+    for at, size in sorted(anchored.select("at", F.length("piece").alias("size")).distinct().collect()):
+        kinds.setdefault((at > 0, size), []).append(at)
     keys = ["table_schema", "table_name"]
     names = named.select(*keys, "_name").filter(F.col("_name").isNotNull()).distinct()
     names = _many_tasks(names, "table_name", "table_schema")
     name = F.col("_name")
     matches = []
-    for placed, size in sorted(kinds):
+    for (placed, size), places in sorted(kinds.items()):
         if size == 0:
             fits_all = anchored.filter(F.col("piece") == "")
             # Equality again, on one of a few numbers: wildcards only are told apart by length alone.
@@ -183,7 +185,11 @@ def _match_by_piece(named: DataFrame, rules: DataFrame) -> DataFrame:
             right = fits_all.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
             matches.append(names.withColumn("_part", spread).join(right, (F.col("_part") == F.col("part")) & _fits(name)))
             continue
-        place = F.explode(F.when(F.length(name) >= size, F.sequence(F.lit(1), F.length(name) - size + 1)))
+        last = F.length(name) - size + 1
+        if placed:  # a name is looked at where patterns have their pieces, nowhere else
+            place = F.explode(F.filter(F.lit(places), lambda at: at <= last))
+        else:
+            place = F.explode(F.when(last >= 1, F.sequence(F.lit(1), last)))
         pieces = names.withColumn("_place", place).withColumn("_piece", F.substr(name, F.col("_place"), F.lit(size)))
         same = F.col("_piece") == F.col("piece")
         if placed:
@@ -209,9 +215,9 @@ def match_regex(
 ) -> DataFrame:
     """Ids joined to the rules whose regular expression is found in them.
 
-    A short list is tested with literal patterns, each compiled once. Of a long one, patterns
-    that are alternatives of plain text meet only the ids that hold a piece of that text. The
-    others have no key to join on: they are cut into blocks of ``_BLOCK`` patterns and the ids
+    A short list is tested with literal patterns, each compiled once. Of a long one, a pattern meets
+    only the ids that hold a piece of text which its matches must hold, see ``literal_pieces``. Patterns
+    without such a piece have no key to join on: they are cut into blocks of ``_BLOCK`` and the ids
     into parts, as many as a shuffle has; each block meets each part in a task of its own.
     """
     if is_short(rules, "pattern", nested_loop_rules):
@@ -226,8 +232,60 @@ def match_regex(
 
 
 _BLOCK = 64
-# Alternatives without any sign that has a meaning in a regular expression, but for ends of the text.
-_PLAIN = r"^[\^]?[A-Za-z0-9_ -]+[$]?([|][\^]?[A-Za-z0-9_ -]+[$]?)*$"
+_GAP = "\x00"
+# What stands between the literal runs of an alternative, in the order in which it is taken out.
+_NOT_LITERAL = (
+    r"\\[^A-Za-z0-9]|\\[dDwWsSbBAZ]",  # an escape of one character
+    r"\[\^?[^\[\]]+\]",  # a class of characters
+    *[r"\([^()]*\)"] * 4,  # groups, from the inside out
+)
+# What may be left out of a match, or repeat.
+_NOT_FIXED = (r".[?*][?+]?", r".\{[^{}]*\}[?+]?", r"\+[?+]?", r"[.^$]")
+# Signs of what is not taken apart: other escapes, odd classes, open groups.
+_UNKNOWN = r"[\\()\[\]{}]"
+
+
+def _parted(texts: Column, sign: str) -> Column:
+    return F.transform(texts, lambda x: F.regexp_replace(x, sign, _GAP))
+
+
+def _literal_runs(pattern: Column) -> Column:
+    """For each alternative the texts that all its matches hold; null for a pattern that is not taken apart.
+
+    Nothing is guessed: what is not known to be literal only parts the runs.
+    """
+    plain = F.regexp_replace(pattern, r"\(\?:", "(")
+    text = plain
+    for sign in _NOT_LITERAL:
+        text = F.regexp_replace(text, sign, _GAP)
+    fixed = F.split(text, "[|]")
+    for sign in _NOT_FIXED:
+        fixed = _parted(fixed, sign)
+    known = ~F.contains(pattern, F.lit(_GAP)) & ~F.contains(plain, F.lit("(?")) & ~F.exists(fixed, lambda x: F.rlike(x, F.lit(_UNKNOWN)))
+    return F.when(known, F.transform(fixed, lambda x: F.filter(F.split(x, _GAP), lambda run: run != "")))
+
+
+def literal_pieces(patterns: DataFrame) -> DataFrame:
+    """pattern, _key: for each alternative of a pattern, of the pieces all its matches hold the one that fewest patterns share.
+
+    Patterns with an alternative that need not hold any text are left out.
+    """
+    runs = patterns.select("pattern", _literal_runs(F.col("pattern")).alias("runs"))
+    runs = runs.filter(F.col("runs").isNotNull() & ~F.exists("runs", lambda x: F.size(x) == 0))
+    alternatives = runs.select("pattern", F.posexplode("runs").alias("nth", "texts"))
+    pieces = F.flatten(F.transform("texts", lambda run: F.transform(_pieces(run, F.lit(0)), lambda p: p["piece"])))
+    pieces = alternatives.select("pattern", "nth", F.explode(F.array_distinct(pieces)).alias("_key"))
+    shared = pieces.select("pattern", "_key").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("shared"))
+    best = F.min(F.struct("shared", (-F.length("_key")).alias("short"), "_key")).alias("best")
+    chosen = pieces.join(shared, "_key").groupBy("pattern", "nth").agg(best)
+    return chosen.select("pattern", F.col("best._key").alias("_key")).distinct()
+
+
+def candidate_pairs(ids: DataFrame, keyed: DataFrame, id_column: str) -> DataFrame:
+    """Ids with the patterns a piece of which they hold; what is left is to look for a match."""
+    pieces = F.transform(_pieces(F.col(id_column), F.lit(0)), lambda p: p["piece"])
+    held = ids.withColumn("_key", F.explode(F.array_distinct(pieces)))
+    return held.join(keyed, "_key").select(id_column, "pattern").distinct()
 
 
 def _found_pairs(ids: DataFrame, patterns: DataFrame, id_column: str) -> DataFrame:
@@ -235,14 +293,9 @@ def _found_pairs(ids: DataFrame, patterns: DataFrame, id_column: str) -> DataFra
     parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(id_column)
     texts = ids.select(id_column).filter(value.isNotNull()).distinct()
-    plain = patterns.filter(F.col("pattern").rlike(_PLAIN))
-    # The first three letters of each alternative; all ids that hold the alternative hold them.
-    literal = F.transform(F.split("pattern", "[|]"), lambda x: F.substring(F.regexp_replace(x, "[$^]", ""), 1, _LONGEST_PIECE))
-    keyed = plain.select("pattern", F.explode(F.array_distinct(literal)).alias("_key"))
-    pieces = F.transform(_pieces(value, F.lit(0)), lambda p: p["piece"])
-    by_text = texts.withColumn("_key", F.explode(F.array_distinct(pieces))).join(keyed, "_key")
-    by_text = by_text.select(id_column, "pattern").distinct().filter(F.rlike(value, F.col("pattern")))
-    other = patterns.filter(~F.col("pattern").rlike(_PLAIN))
+    keyed = stored(literal_pieces(patterns))
+    by_text = candidate_pairs(texts, keyed, id_column).filter(F.rlike(value, F.col("pattern")))
+    other = patterns.join(keyed, "pattern", "left_anti").filter(F.col("pattern").isNotNull())
     blocks = -(-other.count() // _BLOCK)
     if blocks:
         blocked = other.select("pattern", F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int").alias("_block"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrichment import enrichment, report
-from tidemark.operators.export import write_report_or_message
+from tidemark.operators.export import publish_report
 from tidemark.operators.latency import evaluate
 from tidemark.operators.routing import route
 from tidemark.operators.rules import rules_from_json
@@ -150,7 +150,5 @@ def publish(
     rules = rules_from_json(spark, routing)
     replace_table(route(read_table(spark, work.violations), rules), work.table("routed_violations"))
     routed = read_table(spark, work.routed)
-    version = new_version(spark, work.table("report"))
-    write_report_or_message(routed, version, file_format)
-    commit(spark, version)
+    publish_report(routed, work.table("report"), file_format)
     return route_summary(routed, rules)

@@ -847,7 +847,7 @@ def daily_run(spark, sf_dir):
 def report_files(spark, sf_dir):
     """What the daily run wrote for each route, read back from the files."""
     work, _ = _run_day(spark, sf_dir)
-    rows = spark.read.parquet(work.report)
+    rows = td.read_report(spark, work.table("report"))
     return rows.select("route", "table_schema", "table_name", F.col("latency_threshold").cast("bigint").alias("latency_threshold"))
 
 
