@@ -214,3 +214,11 @@ def test_other_columns_replace_a_table(spark, region):
     td.replace_table(spark.range(3), "changed_table")
     assert spark.table("changed_table").columns == ["id"] and spark.table("changed_table").count() == 3
     spark.sql("DROP TABLE changed_table")
+
+
+def test_sources_may_lack_columns(spark, region):
+    with pytest.warns(UserWarning, match="a source of p has no deleted"):
+        found = td.union_sources(spark, {"p": [region("a").drop("deleted"), region("b")]})
+    assert {(r.table_name, r.deleted) for r in found.collect()} == {("a", None), ("b", False)}
+    with pytest.raises(TypeError, match="missing"):
+        td.union_sources(spark, {"p": region("a").drop("table_name")})

@@ -16,6 +16,7 @@ from tidemark.sources.schemas import ACTIVITY, OPTIONS, conform
 from tidemark.sources.versions import read_current
 
 _MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+_NAMES = ("table_schema", "table_name", "schema_name", "option_name")
 
 
 def table_activity(
@@ -122,7 +123,8 @@ def union_sources(
 
     ``sources`` maps a project to one source or to several (one per region). A source
     that does not exist is left out with a warning, or with ``on_missing="error"`` raises
-    FileNotFoundError. With no source left the result has the schema and no rows.
+    FileNotFoundError. With no source left the result has the schema and no rows. A source may lack
+    columns that others have, names aside: they are NULL for its rows, with a warning.
     """
     if on_missing not in ("skip", "error"):
         raise ValueError(f"on_missing must be 'skip' or 'error', not {on_missing!r}")
@@ -137,13 +139,22 @@ def union_sources(
                     raise FileNotFoundError(source)
                 warnings.warn(f"no source {source} of {project}", stacklevel=2)
                 continue
-            df = conform(df, own)
+            df = conform(_filled(df, own, f"source {source} of {project}" if isinstance(source, str) else f"a source of {project}"), own)
             if tagged:
                 df = df.withColumn("source_project_id", F.lit(project)).select(*schema.fieldNames())
             frames.append(df)
     return union_frames(frames) if frames else spark.createDataFrame([], schema)
 
 
+def _filled(df: DataFrame, schema: T.StructType, what: str) -> DataFrame:
+    """With NULL for the columns that are absent, except for names, which a row needs."""
+    absent = [f for f in schema.fields if f.name not in df.columns and f.name not in _NAMES]
+    if absent and len(absent) < len(schema.fields) - 1:
+        warnings.warn(f"{what} has no {', '.join(f.name for f in absent)}", stacklevel=3)
+        return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
+    return df
+
+
 def opt_out_datasets(
     options: DataFrame, option: str = OPT_OUT_OPTION, pattern: str = OPT_OUT_PATTERN
 ) -> DataFrame:
