@@ -71,15 +71,13 @@ def winnowed(words: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _texts(batch: pd.Series) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """So many texts at a time: the number of the first, their words' hashes, where each text's words start."""
-    texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch]
-    start = 0
-    while start < len(texts):
-        end, size = start, 0
-        while end < len(texts) and (end == start or size + len(texts[end]) < _BYTES):
-            size += len(texts[end])
-            end += 1
-        yield start, *word_hashes(*joined(texts[start:end]), _GAP)
-        start = end
+    start, texts, size = 0, [], 0
+    for at, text in enumerate(batch):
+        texts.append((text or "").encode("utf-8", "surrogatepass"))
+        size += len(texts[-1])
+        if size >= _BYTES or at == len(batch) - 1:
+            yield start, *word_hashes(*joined(texts), _GAP)
+            start, texts, size = at + 1, [], 0
 
 
 def _windows(words: np.ndarray, first: np.ndarray, span: int, known: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
