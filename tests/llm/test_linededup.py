@@ -109,3 +109,22 @@ def test_further_holders_are_all_pairs(spark, tmp_path):
                 gone |= {x for x, _ in _solid(patience(own, other.split("\n")), own)}
         kept = [x for n, x in enumerate(own) if n not in gone]
         assert found[i] == ("\n".join(kept) if kept else None)
+
+
+def test_pairs_grow_with_lines_not_with_documents_squared(spark, tmp_path):
+    """A line that stands twice in every document aligns with none; the documents are one class."""
+    rows = [(i, f"a {i}\nShare\nb {i}\nShare\nc {i}") for i in range(600)]
+    rows += [(1000 + i, f"Title\nx {i}\nTwice\ny {i}\nTwice") for i in range(200)] + [(5000, "Twice\nshort\nTwice\nTwice")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: r._n_removed for r in without_lines(df, str(tmp_path), further=True).collect()}
+    assert all(found[i] == 0 for i in range(600))
+    assert found[1000] == 0 and all(found[1000 + i] == 3 for i in range(1, 200))
+    pairs = sum(spark.read.parquet(str(p)).count() for p in tmp_path.glob("further/pairs-*"))
+    assert pairs <= 10
+
+
+def test_clashing_columns(spark, tmp_path):
+    rows = [(1, "a\nb", 7, "x", 1, 2, 3), (2, "c\nb", 8, "y", 4, 5, 6)]
+    df = spark.createDataFrame(rows, f"{SCHEMA}, _gone int, _id string, _hash int, _kept int, place int")
+    found = {r.doc_id: r.asDict() for r in without_lines(df, str(tmp_path), further=True).collect()}
+    assert found[2] == {"doc_id": 2, "text": "c\nb", "_gone": 8, "_id": "y", "_hash": 4, "place": 6, "_n_lines": 2, "_n_removed": 1, "_kept": "c"}

@@ -6,10 +6,12 @@ later document with that line, however many they are (``rare`` bounds nothing an
 for older callers). A line nominates one holder however many documents share it: the pairs grow
 with the lines, not with the square of a group.
 
-With ``further``, a shared line that a document still has then names the later of its holders that
-come before the document, in rounds of 3, 12, 48 ... of them, until each was tried. A line that
-stays aligns with no earlier holder: the result is that of all pairs. Only lines that are left
-name holders; where one stays in many documents, its pairs grow with the square of those.
+With ``further``, a shared line that a document still has then names its other earlier holders. What
+aligns depends on the shared and blank lines of both documents only, in their order and with a mark
+where others stand between them. So documents with the same such skeleton are one class: a line names
+classes of holders, in rounds of 3, 12, 48 ... of them, until each was tried, and a pair of classes
+is aligned once, however many documents they have. A document loses what its class loses to classes
+that began before it: the result is that of all pairs of documents. Copies of a template with texts of their own are one class.
 
 Each pair is aligned by patience diff: lines that are unique in both are anchors, the longest
 chain of them in order stands, and the gaps between are aligned in the same way; a gap without
@@ -27,14 +29,13 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ranked, stored
+from tidemark.llm.common import dropped, ranked, stored
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -132,41 +133,80 @@ def _lines_left(texts: DataFrame) -> DataFrame:
     return texts.select("place", F.explode(left).alias("line")).where("line <> 0")
 
 
+_OTHER = 1  # in a skeleton, lines that no other document has
+
+
+def _skeletons(once: DataFrame, holders: DataFrame, shared: DataFrame) -> DataFrame:
+    """place, skeleton and at (where each of its lines stands in the document) of the documents that hold some lines."""
+    flat = once.join(holders.select("place").distinct(), "place").select("place", F.posexplode("lines").alias("pos", "line"))
+    flat = flat.join(shared.select("line", F.lit(True).alias("known")), "line", "left")
+    mark = F.when((F.col("line") == 0) | F.col("known"), F.col("line")).otherwise(F.lit(_OTHER))
+    rows = flat.groupBy("place").agg(F.array_sort(F.collect_list(F.struct("pos", mark.alias("mark")))).alias("all"))
+    other = lambda x: x["mark"] == _OTHER
+    rows = rows.withColumn("all", F.filter("all", lambda x, i: ~(other(x) & F.coalesce(other(F.get("all", i - 1)), F.lit(False)))))
+    return rows.select("place", F.transform("all", lambda x: x["mark"]).alias("skeleton"), F.transform("all", lambda x: x["pos"]).alias("at"))
+
+
+def _aligned_classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = []
+        for earlier, later in zip(batch["earlier"], batch["later"], strict=True):
+            earlier = np.where(earlier == _OTHER, 2, earlier)  # what others have is like nothing else
+            found.append([x for x, _ in _solid(patience(later.tolist(), earlier.tolist()), later)])
+        yield pd.DataFrame({"cls": batch["cls"], "first": batch["first"], "gone": found})
+
+
 def _further(once: DataFrame, line: DataFrame, shared: DataFrame, gone: DataFrame, folder: str) -> DataFrame:
     """``gone`` with what aligns with other earlier holders than the first."""
+    spark = once.sparkSession
     left = _lines_left(once.join(gone, "place", "left")).join(shared, "line").where("place > first")
     left = stored(left.select("place", "line"), f"{folder}/left")
-    holders = line.join(left.select("line").distinct(), "line")
-    holders = stored(ranked(holders, ["line", "place"], f"{folder}/holders"), f"{folder}/ranked")
-    begin = stored(holders.groupBy("line").agg(F.min("rank").alias("begin")), f"{folder}/begin")
-    holders = holders.join(begin, "line").select("line", "place", (F.col("rank") - F.col("begin")).alias("nth"))
-    holders = stored(holders, f"{folder}/nth")
-    texts = stored(once.join(holders.select("place").distinct(), "place").select("place", "lines"), f"{folder}/texts")
-    left = left.join(holders, ["line", "place"])
-    low, parts = 1, [gone]
-    while True:
-        left = stored(left.where(F.col("nth") > low), f"{folder}/left-{low}")
-        if left.isEmpty():
-            return _united(_all(parts))
-        high = 4 * low
-        named = holders.where(F.col("nth").between(low, high - 1)).select("line", F.col("place").alias("first"), F.col("nth").alias("_nth"))
-        pairs = left.join(named, "line").where("_nth < nth").select("place", "first").distinct()
-        new = stored(_pair_deletions(pairs, texts).where(F.size("gone") > 0), f"{folder}/gone-{low}")
-        parts.append(new)
-        changed = new.select("place").distinct()
-        now = _united(_all(parts).join(changed, "place", "left_semi"))
-        still = _lines_left(texts.join(now, "place"))
-        left = left.join(changed, "place", "left_anti").unionByName(left.join(still, ["line", "place"], "left_semi"))
-        low = high
-
-
-def _all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    holders = stored(line.join(left.select("line").distinct(), "line"), f"{folder}/holders")
+    members = stored(_skeletons(once, holders, shared).withColumn("cls", F.xxhash64("skeleton")), f"{folder}/members")
+    classes = members.groupBy("cls").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.first("skeleton").alias("skeleton"))
+    classes = stored(classes, f"{folder}/classes")
+    of = members.select("place", "cls")
+    lists = holders.join(of, "place").select("line", "cls").distinct().join(classes.select("cls", "first"), "cls")
+    lists = stored(ranked(lists, ["line", "first"], f"{folder}/lists"), f"{folder}/ranked")
+    begin = stored(lists.groupBy("line").agg(F.min("rank").alias("begin"), F.max("rank").alias("end")), f"{folder}/begin")
+    lists = lists.join(begin, "line").select("line", "cls", "first", (F.col("rank") - F.col("begin")).alias("nth"))
+    lists = stored(lists, f"{folder}/nth")
+    todo = left.join(of, "place").select("line", "cls").distinct().join(classes.select("cls", F.col("last").alias("stop")), "cls")
+    todo = todo.join(begin.select("line", (F.col("end") - F.col("begin")).alias("most")), "line")
+    kind = classes.schema["first"].dataType.simpleString()
+    low, since = 1, None
+    while True:  # the first holder was tried; its class is number 0
+        todo = stored(todo.where(F.col("most") >= low), f"{folder}/todo-{low}")
+        if todo.isEmpty():
+            break
+        named = lists.where(F.col("nth").between(low, 4 * low - 1)).select("line", F.col("cls").alias("holder"), "first")
+        pairs = todo.join(named, "line").where("first < stop").select("cls", "holder", "first").distinct()
+        pairs = stored(pairs, f"{folder}/pairs-{low}")
+        both = pairs.join(classes.select("cls", F.col("skeleton").alias("later")), "cls")
+        both = both.join(classes.select(F.col("cls").alias("holder"), F.col("skeleton").alias("earlier")), "holder")
+        new = both.select("cls", "first", "earlier", "later").mapInPandas(_aligned_classes, f"cls bigint, first {kind}, gone array<int>")
+        new = new.select("cls", "first", F.explode("gone").alias("i"))
+        new = new if since is None else new.unionByName(since.select("cls", F.col("since").alias("first"), "i"))
+        since = stored(new.groupBy("cls", "i").agg(F.min("first").alias("since")), f"{folder}/since-{low}")
+        # a line goes on asking up to the class that its last place was lost to
+        places = classes.select("cls", "last", F.posexplode("skeleton").alias("i", "line")).join(since, ["cls", "i"], "left")
+        stop = places.groupBy("cls", "line").agg(F.max(F.coalesce("since", "last")).alias("stop"))
+        low *= 4
+        todo = todo.drop("stop").join(stop, ["cls", "line"])
+    if since is None:
+        return gone
+    lost = since.groupBy("cls").agg(F.collect_list(F.struct("i", "since")).alias("lost"))
+    more = members.join(lost, "cls").select("place", "at", F.filter("lost", lambda x: x["since"] < F.col("place")).alias("lost"))
+    more = more.select("place", F.transform("lost", lambda x: F.get("at", x["i"])).alias("gone"))
+    out = stored(_united(gone.unionByName(more)), f"{folder}/all")
+    for step in ("left", "holders", "members", "classes", "lists", "ranked", "begin", "nth"):
+        dropped(spark, f"{folder}/{step}")
+    return out
 
 
 def deletions(documents: DataFrame, folder: str, rare: int = 100, further: bool = False) -> DataFrame:
     """For each document that loses lines: doc_id, _text (a hash), gone (the places of lines, from 0)."""
-    known = documents.select("doc_id", F.xxhash64("text").alias("_text"), line_hashes().alias("lines"))
+    known = documents.select("doc_id", "text").select("doc_id", F.xxhash64("text").alias("_text"), line_hashes().alias("lines"))
     known = known.where("lines is not null")
     # the order of documents, and their names while aligning
     once = known.groupBy("doc_id", "_text").agg(F.first("lines").alias("lines"))
@@ -185,11 +225,14 @@ def deletions(documents: DataFrame, folder: str, rare: int = 100, further: bool
 def without_lines(documents: DataFrame, folder: str, rare: int = 100, further: bool = False) -> DataFrame:
     """The documents with _n_lines, _n_removed and _kept, the text that is left (null: none is).
 
-    Columns whose names begin with an underscore must not be there already.
+    Columns of these three names are replaced.
     """
     gone = stored(deletions(documents, folder, rare, further), f"{folder}/gone")
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.col("gone").alias("_gone"))
-    rows = documents.withColumn("_hash_own", F.xxhash64("text"))
+    added = ("_n_lines", "_n_removed", "_kept")
+    given = [c for c in documents.columns if c not in added]
+    # packed, so that no name of theirs meets one of those used here
+    rows = documents.select("doc_id", "text", F.struct(*given).alias("_given")).withColumn("_hash_own", F.xxhash64("text"))
     met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash_own") == F.col("_hash"))
     rows = rows.join(gone, met, "left")
     lines = F.split("text", "\n")
@@ -197,7 +240,7 @@ def without_lines(documents: DataFrame, folder: str, rare: int = 100, further: b
     left = F.transform(stay, lambda i: F.get(lines, i))
     kept = F.when(F.col("_gone").isNull(), F.col("text")).when(F.size(left) > 0, F.array_join(left, "\n"))
     return rows.select(
-        *[F.col(c) for c in documents.columns],
+        *[F.col("_given")[c].alias(c) for c in given],
         F.coalesce(F.size(lines), F.lit(0)).alias("_n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_removed"),
         kept.alias("_kept"),
