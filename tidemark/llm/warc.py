@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import dropped, stored
 
 MANIFEST = "file string, shard int, records bigint, bytes bigint, sha1 string, first_page bigint, last_page bigint"
 RECORDS = (
@@ -162,6 +162,8 @@ def write_warc(
     rows = rows.withColumn("_digest", F.sha1(F.encode("html", "utf-8")))
     large = rows.where(F.col("_bytes") >= min_bytes)
     shared = large.groupBy("_digest").agg(F.count("*").alias("n"), F.min("page_id").alias("_first")).where("n > 1")
+    # stored, so that the join deals both sides anew and Spark can split the pages of one digest, all empty ones for one
+    shared = stored(shared, f"{folder}/shared")
     # slim rows find the revisits; they then travel with the pages as marks, so html moves once
     marks = (
         large.select("page_id", "_digest")
@@ -183,7 +185,7 @@ def write_warc(
     dealt, shards = _shards(rows, pages_and_marks, shard_bytes)
     ordered = (
         dealt.select("_shard", "page_id", "_digest", "_kind", "url", "html", "_first")
-        .repartition(shards, "_shard")
+        .repartitionById(shards, F.col("_shard").cast("int"))  # a task for each shard, and no two in one
         .sortWithinPartitions("_shard", "page_id", "_digest", "_kind", "url")
     )
     files = f"{folder}/archives"
@@ -212,7 +214,9 @@ def write_warc(
 
     system, path = fs.FileSystem.from_uri(files)
     system.create_dir(path, recursive=True)
-    return stored(ordered.mapInPandas(write, MANIFEST), f"{folder}/manifest")
+    manifest = stored(ordered.mapInPandas(write, MANIFEST), f"{folder}/manifest")
+    dropped(pages.sparkSession, f"{folder}/shared")
+    return manifest
 
 
 def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
