@@ -2,8 +2,8 @@
 
 Each pass hashes every vector to the signs of its products with random directions, drawn from a
 fixed seed, and sorts all vectors by that string of bits and then by id. Vectors that are nearly
-parallel share long prefixes with good chance; every pass uses other directions. All passes run as
-one sort. The order is cut into blocks of equal size, each with the first ``window`` rows of the
+parallel share long prefixes with good chance; every pass uses other directions. A few passes at a
+time run as one sort, which is deleted when its pairs are found, so that the vectors are held so many times and not once for each pass. The order is cut into blocks of equal size, each with the first ``window`` rows of the
 next block, so no pair of close neighbours is lost at a cut and a third of all vectors with one hash
 are still many blocks. All vectors of a block are compared with each other: in a dense group, whose
 members the bits hardly tell apart, a pair need not be close in the order but in one block. Beyond
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, ranked, stored
+from tidemark.llm.common import components, dropped, ranked, stored
 from tidemark.llm.topk import sound_vectors
 
 _SEED = 20_240_501
@@ -41,15 +41,15 @@ _SEED = 20_240_501
 _PASSES_GROW = 65_536
 
 
-def _keys(vectors: DataFrame, passes: int, bits: int) -> DataFrame:
-    """The vectors once for each pass, with the pass and its hash."""
+def _keys(vectors: DataFrame, turn: int, passes: int, bits: int) -> DataFrame:
+    """The vectors once for each pass of a turn, with the pass and its hash."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         drawn: dict[int, np.ndarray] = {}
         for batch in batches:
             for size, rows in batch.groupby(batch["v"].map(len), sort=False):
                 if size not in drawn:
-                    drawn[size] = np.random.default_rng(_SEED).standard_normal((size, passes * bits))
+                    drawn[size] = np.random.default_rng([_SEED, turn]).standard_normal((size, passes * bits))
                 signs = np.stack(rows["v"].to_numpy()).astype(np.float64) @ drawn[size] > 0
                 for p in range(passes):
                     packed = np.packbits(signs[:, p * bits : (p + 1) * bits], axis=1)
@@ -120,6 +120,7 @@ def near_vectors(
     window: int = 24,
     block: int = 2048,
     chunk: int = 512,
+    at_once: int = 6,
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
@@ -133,11 +134,17 @@ def near_vectors(
     members = stored(members.where("v = w").select("vec_id", "rep", "copies"), f"{folder}/members")
 
     passes = ceil(passes * max(1.0, (reps.count() / _PASSES_GROW) ** 0.5))
-    order = ranked(_keys(reps, passes, bits), ["pass", "key", "rep"], f"{folder}/order")
-    at = (F.col("rank") / block).cast("bigint")
-    halo = F.when((F.col("rank") % block < window) & (at > 0), F.array(at, at - 1)).otherwise(F.array(at))
-    blocks = order.withColumn("block", F.explode(halo))
-    edges = blocks.groupBy("pass", "block").applyInPandas(_forest(least), "a bigint, b bigint")
+    spark = vectors.sparkSession
+    turns = range(0, passes, at_once)
+    for turn in turns:
+        some = min(at_once, passes - turn)
+        order = ranked(_keys(reps, turn, some, bits), ["pass", "key", "rep"], f"{folder}/order-{turn}")
+        at = (F.col("rank") / block).cast("bigint")
+        halo = F.when((F.col("rank") % block < window) & (at > 0), F.array(at, at - 1)).otherwise(F.array(at))
+        blocks = order.withColumn("block", F.explode(halo)).groupBy("pass", "block")
+        stored(blocks.applyInPandas(_forest(least), "a bigint, b bigint").distinct(), f"{folder}/edges-{turn}")
+        dropped(spark, f"{folder}/order-{turn}")
+    edges = spark.read.schema("a bigint, b bigint").parquet(*(f"{folder}/edges-{turn}" for turn in turns))
     comps = stored(components(edges, f"{folder}/components"), f"{folder}/labels")
 
     inside = reps.select("rep", "v", "copies").join(comps, F.col("rep") == F.col("node")).drop("node")
@@ -153,7 +160,9 @@ def near_vectors(
     columns = ["component", "low", "high", "chunk", "rep", "copies", "v"]
     pairs = pairs.select(inside["component"], *columns[1:])
     counts = pairs.groupBy("component", "low", "high").applyInPandas(_counted(least), "rep bigint, links bigint")
-    counts = counts.groupBy("rep").agg(F.sum("links").alias("links"))
+    counts = stored(counts.groupBy("rep").agg(F.sum("links").alias("links")), f"{folder}/counts")
+    for step in ("reps", "inside", "first", *(f"edges-{turn}" for turn in turns)):
+        dropped(spark, f"{folder}/{step}")
 
     linked = (
         members.join(counts, "rep", "left")
