@@ -32,9 +32,3 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or scratch_folder(df.sparkSession)
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def removed(spark: SparkSession, folder: str) -> None:
-    """Deletes a folder of one's own that nothing reads any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
