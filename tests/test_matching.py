@@ -158,3 +158,18 @@ def test_candidates_grow_with_what_matches(spark):
     pairs = candidate_pairs(ids, literal_pieces(patterns), "id").collect()
     assert {(f"click_{n:03d}", f"^(click|view)_{n:03d}x?$") for n in range(400)} <= set(map(tuple, pairs))
     assert len(pairs) < 10 * 400
+
+
+def test_a_pattern_listed_often_is_tested_once_for_a_name(spark):
+    """The side that is tested has each pattern once; its thresholds come after, repeats included."""
+    rules = spark.createDataFrame([("a%", 1)] * 2500 + [("a%", 2)] * 3 + [("%", 7), ("b_", 4)], "table_pattern string, latency_threshold int")
+    tables = spark.createDataFrame([("d", "ab"), ("d", "b1"), ("e", None), (None, "ab")], "table_schema string, table_name string")
+    matched = td.match_thresholds(tables, rules, 8)
+    tested = [line for line in matched._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line and "_regex#" in line]
+    assert tested and not any("latency_threshold" in line for line in tested)
+    count = {tuple(row)[:4]: row["count"] for row in matched.groupBy(matched.columns).count().collect()}
+    ab = {("a%", 1): 2500, ("a%", 2): 3, ("%", 7): 1}
+    assert count == {
+        **{(d, "ab", *rule): n for d in ("d", None) for rule, n in ab.items()},
+        ("d", "b1", "%", 7): 1, ("d", "b1", "b_", 4): 1, ("e", None, None, None): 1,
+    }
