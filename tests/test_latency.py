@@ -217,3 +217,19 @@ def test_as_of_defaults_to_now(spark):
 
 def test_empty_scope_restricts_nothing(spark):
     assert td.live_tables(activity(spark, ("anything", "t", 1)), Scope()).count() == 1
+
+
+def test_a_long_list_gives_the_same_tables_without_sorting_all_matches(spark):
+    """One number a table is kept while patterns are met, in a hash aggregate; no row for each match is sorted."""
+    rules = [("a%", 1), ("abc%", 3), ("ab%", 2), ("%bc", 9), ("%abc", 7), ("abc%", 4), ("%", 100), ("_", 5), ("b%", 500), (None, 1), ("x%", None)]
+    rows = [(d, t, age) for d in ("d_prod_raw", "daton_x") for t in ("abc", "ABC", "a", "b", "xyz", "") for age in (2.5, 8, 48)]
+    rows += [("daton_x", None, 48), ("daton_x", "only_b", 48)]
+    for some in (rules, [("b%", 500), ("zz%", 1)], []):
+        short, long = (stale(spark, rows, some, nested_loop_rules=n) for n in (64, -1))
+        assert short == long and short
+    found = td.evaluate(activity(spark, *rows), thresholds(spark, *rules), as_of=NOW, nested_loop_rules=0)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    matches = [line for line in text.splitlines() if "partial_min(" in line and "_rank" in line]
+    assert matches and all("HashAggregate" in line and "Object" not in line for line in matches)
+    windows = text[: text.index("partial_min(")].count("WindowGroupLimit")
+    assert windows and "WindowGroupLimit" not in text[text.index("partial_min("):]

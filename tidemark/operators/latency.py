@@ -18,7 +18,7 @@ from tidemark.functions.time import (
 )
 from tidemark.operators.exclusion import exclude
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.matching import NESTED_LOOP_RULES, match_thresholds
+from tidemark.operators.matching import NESTED_LOOP_RULES, match_violated
 from tidemark.operators.scope import has_default_threshold, live_tables
 from tidemark.presets import DEFAULT_HOURS, DISPLAY_ZONE, MONITORED, Scope
 
@@ -34,8 +34,12 @@ def eligible_tables(
 
 def stale_matches(eligible: DataFrame, as_of: datetime | str | Column | None) -> DataFrame:
     """Keep the matches whose table is older than the threshold, strictly and to the instant."""
-    modified = utc_instant(eligible, "storage_last_modified_time")
-    return eligible.filter(modified < as_of_instant(as_of) - hours(F.col("latency_threshold")))
+    return eligible.filter(_violated(eligible, as_of))
+
+
+def _violated(tables: DataFrame, as_of: datetime | str | Column | None) -> Column:
+    modified = utc_instant(tables, "storage_last_modified_time")
+    return modified < as_of_instant(as_of) - hours(F.col("latency_threshold"))
 
 
 def pick_threshold(stale: DataFrame) -> DataFrame:
@@ -121,6 +125,6 @@ def evaluate(
     tables = _old_enough(tables, thresholds, as_of_instant(as_of), default_hours)
     tables = exclude(tables, ignored_datasets, ignored_tables)
     rules = _one_per_pattern(thresholds)
-    matched = match_thresholds(tables, rules, nested_loop_rules)
+    matched = match_violated(tables, rules, _violated(tables, as_of), nested_loop_rules)
     eligible = eligible_tables(matched, scope, default_hours)
     return describe(pick_threshold(stale_matches(eligible, as_of)), as_of, zone, hour_mode)

@@ -250,6 +250,32 @@ def _match_by_piece(named: DataFrame, rules: DataFrame) -> DataFrame:
     return repeated(named.join(pairs, same_table, "left").join(listed, "table_pattern", "left"))
 
 
+def match_violated(
+    tables: DataFrame, thresholds: DataFrame, violated: Column, nested_loop_rules: int = NESTED_LOOP_RULES
+) -> DataFrame:
+    """Of ``match_thresholds`` the rows from which the threshold to report is picked, for one threshold per pattern.
+
+    A short list gives all. A long one gives for each table, of the matches for which ``violated`` holds, the one
+    with the longest pattern, and no row for a table that fits patterns but violates none. So as not to
+    sort all matches, patterns are numbered in that order and the least number of a table is a hash aggregate.
+    """
+    rules = _usable(thresholds)
+    if is_short(rules, "table_pattern", nested_loop_rules):
+        return match_thresholds(tables, rules, nested_loop_rules)
+    # Numbers rise with the order; that they leave gaps does not matter.
+    ordered = rules.orderBy(F.desc(F.length("table_pattern")), "table_pattern", "latency_threshold")
+    ranked = stored(ordered.withColumn("_rank", F.monotonically_increasing_id()))
+    anchored = stored(_with_tests(_with_anchor(ranked)))
+    named = tables.withColumn("_name", F.lower("table_name"))
+    pairs = _fitting_pairs(named.filter(F.col("_name").isNotNull()), anchored, ["latency_threshold", "_rank"])
+    if pairs is None:
+        return match_thresholds(tables, rules, nested_loop_rules)
+    best = pairs.groupBy(*_KEYS).agg(F.min(F.when(violated, F.col("_rank"))).alias("_rank"))
+    best, same_table = _of_table(best)
+    met = tables.join(best, same_table, "left").filter(F.col("_table_name").isNull() | F.col("_rank").isNotNull())
+    return met.join(ranked, "_rank", "left").select(*tables.columns, "table_pattern", "latency_threshold")
+
+
 def match_regex(
     ids: DataFrame, rules: DataFrame, id_column: str, nested_loop_rules: int = NESTED_LOOP_RULES
 ) -> DataFrame:
