@@ -99,3 +99,29 @@ def test_no_default_and_no_fallback_is_an_error(spark):
     records = spark.createDataFrame([("acme",)], "table_schema string")
     with pytest.raises(ValueError, match="default"):
         td.route(records, rules)
+
+
+def test_very_many_rules_of_one_route_are_counted_not_collected(spark):
+    """An id that thousands of rules find is one row with a count while it is shuffled; its records get every route."""
+    rules = spark.range(2300).selectExpr(
+        "cast(id AS int) + 1 AS rule_no",
+        "CASE WHEN id % 2 = 0 THEN 'acme' WHEN id % 3 = 0 THEN concat('m', id % 10, '|e') ELSE concat('none', id) END AS pattern",
+        "array(if(id % 7 = 0, 'C2', 'C1')) AS channels",
+        "false AS is_default",
+    )
+    defaults = spark.createDataFrame([(0, None, ["D"], True), (0, None, ["D"], True), (0, None, ["E"], True)], rules.schema)
+    records = spark.createDataFrame([("acme",), ("acme",), ("zz",), ("",), (None,)], "table_schema string")
+    routed = td.route(records, rules.unionByName(defaults), nested_loop_rules=0)
+    hits = [i for i in range(2300) if i % 2 == 0 or i % 3 == 0]
+    c2 = sum(i % 7 == 0 for i in hits)
+    expected = Counter({("acme", "match:C1"): 2 * (len(hits) - c2), ("acme", "match:C2"): 2 * c2})
+    for name, n in (("acme", 2), ("zz", 1), ("", 1), (None, 1)):
+        expected.update({(name, "default:D"): 2 * n, (name, "default:E"): n})
+    assert Counter(map(tuple, routed.select("table_schema", "route").collect())) == expected
+    deduped = td.route(records, rules.unionByName(defaults), dedupe=True, nested_loop_rules=0)
+    assert Counter(map(tuple, deduped.select("table_schema", "route").collect())) == {
+        key: 2 if key[0] == "acme" else 1 for key in expected
+    }
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "collect_list" in line and "_id" in line]
+    assert "SortMergeJoin [pattern" not in plan

@@ -286,14 +286,13 @@ def match_regex(
     without such a piece have no key to join on: they are cut into blocks of ``_BLOCK`` and the ids
     into parts, as many as a shuffle has; each block meets each part in a task of its own.
     """
-    if is_short(rules, "pattern", nested_loop_rules):
-        # So few, and so small, that they may be held here.
-        listed = [p for (p,) in rules.select("pattern").distinct().collect() if p is not None]
-        found = [F.when(F.rlike(F.col(id_column), F.lit(p)), F.lit(p)) for p in sorted(listed)]
-        patterns = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
-        pairs = ids.withColumn("_pattern", F.explode(patterns))
-    else:
-        pairs = _found_pairs(ids, rules.select("pattern").distinct(), id_column)
+    if not is_short(rules, "pattern", nested_loop_rules):
+        return _found_pairs(ids, rules, id_column)
+    # So few, and so small, that they may be held here.
+    listed = [p for (p,) in rules.select("pattern").distinct().collect() if p is not None]
+    found = [F.when(F.rlike(F.col(id_column), F.lit(p)), F.lit(p)) for p in sorted(listed)]
+    patterns = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    pairs = ids.withColumn("_pattern", F.explode(patterns))
     return pairs.join(rules, F.col("_pattern") == F.col("pattern")).drop("_pattern")
 
 
@@ -348,26 +347,36 @@ def literal_pieces(patterns: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(ids: DataFrame, keyed: DataFrame, id_column: str) -> DataFrame:
-    """Ids with the patterns a piece of which they hold; what is left is to look for a match."""
+    """Ids with the patterns a piece of which they hold, once for each such piece; what is left is to look for a match."""
     pieces = F.transform(_pieces(F.col(id_column), F.lit(0)), lambda p: p["piece"])
     held = ids.withColumn("_key", F.explode(F.array_distinct(pieces)))
-    return held.join(keyed, "_key").select(id_column, "pattern").distinct()
+    return held.join(keyed, "_key").drop("_key")
+
 
+def _found_pairs(ids: DataFrame, rules: DataFrame, id_column: str) -> DataFrame:
+    """Rows of ids with each rule whose pattern is found in them.
 
-def _found_pairs(ids: DataFrame, patterns: DataFrame, id_column: str) -> DataFrame:
-    """Rows of ids with each pattern found in them, as ``_pattern``."""
+    The rules' columns go with their patterns, which have few rows; what is found is not shuffled here.
+    """
     parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(id_column)
-    texts = ids.select(id_column).filter(value.isNotNull()).distinct()
+    ids = _many_tasks(ids.filter(value.isNotNull()))
+    patterns = rules.select("pattern").distinct()
     keyed = stored(literal_pieces(patterns))
-    by_text = candidate_pairs(texts, keyed, id_column).filter(F.rlike(value, F.col("pattern")))
-    other = patterns.join(keyed, "pattern", "left_anti").filter(F.col("pattern").isNotNull())
+    # The pieces of a pattern that come before one: where an id holds several, the first counts.
+    before = keyed.groupBy("pattern").agg(F.collect_set("_key").alias("_keys"))
+    carried = keyed.join(before, "pattern").withColumn("_before", F.filter("_keys", lambda k: k < F.col("_key"))).drop("_keys")
+    carried = stored(carried.join(rules, "pattern"))
+    met = candidate_pairs(ids, carried, id_column).filter(~F.exists("_before", lambda k: F.contains(value, k)))
+    columns = [*ids.columns, *rules.columns]
+    found = met.filter(F.rlike(value, F.col("pattern"))).select(*columns)
+    other = rules.join(keyed, "pattern", "left_anti").filter(F.col("pattern").isNotNull())
     blocks = -(-other.count() // _BLOCK)
     if blocks:
-        blocked = other.select("pattern", F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int").alias("_block"))
+        blocked = other.withColumn("_block", F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int"))
         blocked = blocked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        copied = texts.withColumn("_part", F.pmod(F.xxhash64(id_column), F.lit(parts)).cast("int"))
+        copied = ids.withColumn("_part", F.pmod(F.xxhash64(id_column), F.lit(parts)).cast("int"))
         copied = _many_tasks(copied.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), "_block", "_part")
         met = copied.join(blocked, ["_block", "_part"]).filter(F.rlike(value, F.col("pattern")))
-        by_text = by_text.unionByName(met.select(id_column, "pattern"))
-    return ids.join(by_text.withColumnRenamed("pattern", "_pattern"), id_column)
+        found = found.unionByName(met.select(*columns))
+    return found

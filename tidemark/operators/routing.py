@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.matching import NESTED_LOOP_RULES, match_regex
+from tidemark.operators.matching import NESTED_LOOP_RULES, counted, match_regex
 from tidemark.presets import DATASET_ID_COLUMNS
 
 ROUTE_COLUMNS = ["route", "is_default", "channels"]
@@ -75,9 +76,18 @@ def route(
     defaults = rules.filter(F.col("is_default")).agg(F.array_sort(F.collect_list(named)).alias("d"))
     with_id = records.withColumn("_id", dataset_id(records, id_columns))
     ids = with_id.filter(has_id("_id")).select("_id").distinct()
-    found = match_regex(ids, rules.filter(~F.col("is_default")), "_id", nested_loop_rules)
-    # As many routes per id as there are rules at most.
-    found = found.groupBy(F.col("_id").alias("_found_id")).agg(F.array_sort(F.collect_list(named)).alias("_routes"))
+    # Rules alike in pattern and route are one with a count, and so are the finds of an id: nothing is collected.
+    listed = counted(rules.filter(~F.col("is_default")).select("pattern", *ROUTE_COLUMNS)).drop("_turn")
+    found = match_regex(ids, listed, "_id", nested_loop_rules).drop("pattern")
+    found = counted(found, F.col("_times"))
+    if dedupe:
+        found = found.filter(F.col("_turn") == 0).withColumn("_times", F.lit(1))
+        defaults = defaults.select(F.array_distinct("d").alias("d"))
+    # The first find of an id brings the defaults along, so that a record reaches them once.
+    nth = F.row_number().over(Window.partitionBy("_id").orderBy(*ROUTE_COLUMNS, "_turn"))
+    found = found.select(F.col("_id").alias("_found_id"), named.alias("_route"), "_times", (nth == 1).alias("_first"))
     routed = with_id.join(found, F.col("_id") == F.col("_found_id"), "left")
-    reached = F.concat(defaults.scalar(), F.coalesce("_routes", F.array().cast(found.schema["_routes"].dataType)))
-    return routed.select(*records.columns, F.inline(F.array_distinct(reached) if dedupe else reached))
+    none = F.array().cast(T.ArrayType(found.schema["_route"].dataType))
+    own = F.when(F.col("_times").isNotNull(), F.array_repeat("_route", F.col("_times"))).otherwise(none)
+    first = F.when(F.coalesce("_first", F.lit(True)), defaults.scalar()).otherwise(none)
+    return routed.select(*records.columns, F.inline(F.concat(first, own)))
