@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tidemark.llm import jaccard
 from tidemark.llm.jaccard import jaccard_join
 
 
@@ -66,3 +67,18 @@ def test_no_rows_and_no_words(spark, tmp_path):
     assert jaccard_join(none, str(tmp_path / "a")).collect() == []
     blank = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
     assert sorted(map(tuple, jaccard_join(blank, str(tmp_path / "b")).collect())) == [(1, 0, 0, 1), (2, 0, 0, 2)]
+
+
+def test_texts_and_chunks_reach_python_in_small_batches(spark, tmp_path, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, sizes, store = spark.conf.get(name), {}, jaccard.stored
+
+    def noting(frame, path):
+        sizes[path.rsplit("/", 1)[-1]] = int(spark.conf.get(name))
+        return store(frame, path)
+
+    monkeypatch.setattr(jaccard, "stored", noting)
+    rows = [(i, f"a b c d e {i % 3}") for i in range(20)]
+    jaccard_join(spark.createDataFrame(rows, "doc_id bigint, text string"), str(tmp_path)).collect()
+    assert max(sizes["signed"], sizes["sets"]) <= 500 and sizes["promising"] <= 16
+    assert spark.conf.get(name) == before

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,21 @@ def stored(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """What is stored within it hands its rows to Python at most so many at a time, which both sides then hold.
+
+    Spark's own number of rows says nothing of their size: whole texts and sets are large.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, str(rows if before <= 0 else min(rows, before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, str(before))
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Deletes a folder of one's own that is read no more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

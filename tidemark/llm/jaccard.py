@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, dropped, ranked, stored
+from tidemark.llm.common import components, dropped, ranked, small_batches, stored
 from tidemark.llm.shingles import mix, shingle_sets
 
 # how many times a prefix the counted shingles of a set are, on average
@@ -71,13 +71,11 @@ def signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for some in np.array_split(np.arange(len(batch)), max(1, len(batch) // 2000)):
-                ids = batch["doc_id"].iloc[some]
-                for doc, own in zip(ids, shingle_sets(_texts(batch["text"].iloc[some]), width), strict=True):
-                    rising = _signed(own)
-                    counted = int(np.searchsorted(rising, below))
-                    pool = rising[: max(counted, prefix_length(len(own), percent))]
-                    out.append((doc, len(own), *_sums(own), counted, pool))
+            for doc, own in zip(batch["doc_id"], shingle_sets(_texts(batch["text"]), width), strict=True):
+                rising = _signed(own)
+                counted = int(np.searchsorted(rising, below))
+                pool = rising[: max(counted, prefix_length(len(own), percent))].copy()  # the rest of the set goes
+                out.append((doc, len(own), *_sums(own), counted, pool))
             frame = pd.DataFrame(out, columns=["doc_id", "n", "a", "b", "counted", "pool"])
             yield frame.astype({"doc_id": "Int64"})
 
@@ -118,13 +116,11 @@ def _sets_of(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """The wanted classes (class: the id of a document, a, b: of its set) with their whole sets."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for some in np.array_split(np.arange(len(batch)), max(1, len(batch) // 1000)):
-                rows = batch.iloc[some]
-                sets = shingle_sets(_texts(rows["text"]), width)
-                own = [_sums(x)[0] == a for x, a in zip(sets, rows["a"], strict=True)]
-                out = rows.assign(set=[_signed(x).tobytes() for x in sets])[own]
-                yield out[["class", "a", "b", "cid", "copies", "set"]]
+        for rows in batches:
+            sets = shingle_sets(_texts(rows["text"]), width)
+            own = [_sums(x)[0] == a for x, a in zip(sets, rows["a"], strict=True)]
+            out = rows.assign(set=[_signed(x).tobytes() for x in sets])[own]
+            yield out[["class", "a", "b", "cid", "copies", "set"]]
 
     # texts move only where their id shares a slot with a wanted one; there are _SLOTS of them at most
     slot = F.xxhash64("doc_id").bitwiseAND(F.lit(_SLOTS - 1)).alias("slot")
@@ -236,7 +232,7 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
         return at[ok][order], rows[ok][order]
 
     (cx, rx), (cy, ry) = columns(flat_x, rows_x), columns(flat_y, rows_y)
-    step = 8192  # so many columns at a time
+    step = 2048  # so many columns at a time
     for start in range(0, len(known), step):
         parts = []
         for c, r, size in ((cx, rx, len(x)), (cy, ry, len(y))):
@@ -254,7 +250,8 @@ def jaccard_join(
     """One row per document: doc_id, n_shingles, n_links (other documents it links with), component_id."""
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = stored(signatures(rows, width, percent), f"{folder}/signed")
+    with small_batches(spark):
+        signed = stored(signatures(rows, width, percent), f"{folder}/signed")
     classes = (
         signed.where("n > 0 and doc_id is not null")
         .groupBy("n", "a", "b")
@@ -299,14 +296,16 @@ def jaccard_join(
     heads = stored(heads.select("cid", *[F.col(f"g.{c}").alias(c) for c in ("members", *facts)]), f"{folder}/heads")
     x, y = (heads.select(*[F.col(c).alias(f"{side}_{c}") for c in heads.columns]) for side in "xy")
     tried = pairs.join(x, F.col("low") == F.col("x_cid")).join(y, F.col("high") == F.col("y_cid")).drop("x_cid", "y_cid", "y_members")
-    tried = stored(tried.mapInPandas(_promising(percent), "low bigint, high bigint"), f"{folder}/promising")
+    with small_batches(spark, 16):  # a row has the prefixes of two chunks
+        tried = stored(tried.mapInPandas(_promising(percent), "low bigint, high bigint"), f"{folder}/promising")
     for step in ("lists", "sizes", "pairs", "heads"):
         dropped(spark, f"{folder}/{step}")
 
     asked = tried.select(F.col("low").alias("cid")).unionByName(tried.select(F.col("high").alias("cid"))).distinct()
     wanted = found.select("class", "a", "b", "cid", "copies").join(asked, "cid")
     wanted = stored(wanted.select("class", "a", "b", "cid", "copies"), f"{folder}/wanted")
-    sets = stored(_sets_of(rows, wanted, width), f"{folder}/sets")
+    with small_batches(spark):
+        sets = stored(_sets_of(rows, wanted, width), f"{folder}/sets")
     sides = tried.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("cid"))
     linked = sides.join(sets, "cid").groupBy("low", "high")
     columns = "class bigint, a bigint, b bigint, links bigint, to bigint"

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held, ranked, stored
+from tidemark.llm.common import held, ranked, small_batches, stored
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
@@ -166,7 +166,8 @@ def packed(
     documents: DataFrame, folder: str, vocabulary: str, ranks: str, pattern: str, window: int = 2048
 ) -> DataFrame:
     """One row per piece: where its ids come from and where they lie."""
-    cut = stored(pieces(documents, vocabulary, ranks, pattern, window), f"{folder}/pieces")
+    with small_batches(documents.sparkSession):
+        cut = stored(pieces(documents, vocabulary, ranks, pattern, window), f"{folder}/pieces")
     counts = dict(cut.groupBy("length").count().collect())  # at most as many as a window has tokens
     histogram = np.zeros(window + 1, np.int64)
     histogram[list(counts)] = list(counts.values())

@@ -69,7 +69,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     start = 0
     while start < len(texts):  # so many at a time that the arrays stay small
         end, size = start, 0
-        while end < len(texts) and (end == start or size + len(texts[end]) < 1_000_000):
+        while end < len(texts) and (end == start or size + len(texts[end]) < 250_000):
             size += len(texts[end])
             end += 1
         out += _sets(texts[start:end], width)
