@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tidemark as td
+from tidemark.operators import matching
 
 FIXED_PATTERNS = [
     "", "%", "_", "%%", "a%", "%a", "%a%", "a", "a%b", "%_%", "__%", "a\\_b%", "%\\_", "\\_%", "\\%%",
@@ -173,3 +174,13 @@ def test_a_pattern_listed_often_is_tested_once_for_a_name(spark):
         **{(d, "ab", *rule): n for d in ("d", None) for rule, n in ab.items()},
         ("d", "b1", "%", 7): 1, ("d", "b1", "b_", 4): 1, ("e", None, None, None): 1,
     }
+
+
+def test_pieces_of_many_rules_are_made_in_many_tasks(spark, monkeypatch):
+    tasks, made = [], matching.literal_pieces
+    monkeypatch.setattr(matching, "literal_pieces", lambda p: tasks.append(p.rdd.getNumPartitions()) or made(p))
+    ids = spark.createDataFrame([("abc1",), ("abd2",), (None,)], "id string")
+    rules = spark.createDataFrame([("c1$",), ("d2|zz",), ("c1$",), (None,)], "pattern string")
+    found = matching.match_regex(ids, rules, "id", nested_loop_rules=1)
+    assert sorted(tuple(r) for r in found.collect()) == [("abc1", "c1$"), ("abc1", "c1$"), ("abd2", "d2|zz")]
+    assert tasks == [int(spark.conf.get("spark.sql.shuffle.partitions"))]

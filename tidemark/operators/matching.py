@@ -297,6 +297,7 @@ def match_regex(
 
 
 _BLOCK = 64
+_SLOTS = 1 << 16
 _GAP = "\x00"
 # What stands between the literal runs of an alternative, in the order in which it is taken out.
 _NOT_LITERAL = (
@@ -350,6 +351,10 @@ def candidate_pairs(ids: DataFrame, keyed: DataFrame, id_column: str) -> DataFra
     """Ids with the patterns a piece of which they hold, once for each such piece; what is left is to look for a match."""
     pieces = F.transform(_pieces(F.col(id_column), F.lit(0)), lambda p: p["piece"])
     held = ids.withColumn("_key", F.explode(F.array_distinct(pieces)))
+    # pieces move only where their hash shares a slot with that of a key; there are _SLOTS of them at most
+    slot = F.xxhash64("_key").bitwiseAND(F.lit(_SLOTS - 1)).alias("_slot")
+    slots = keyed.select(slot).distinct()
+    held = held.select("*", slot).join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")
     return held.join(keyed, "_key").drop("_key")
 
 
@@ -361,7 +366,8 @@ def _found_pairs(ids: DataFrame, rules: DataFrame, id_column: str) -> DataFrame:
     parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(id_column)
     ids = _many_tasks(ids.filter(value.isNotNull()))
-    patterns = rules.select("pattern").distinct()
+    # a list of patterns has few bytes, its pieces have many: the tasks must not be merged before they are made
+    patterns = _many_tasks(rules.select("pattern"), "pattern").distinct()
     keyed = stored(literal_pieces(patterns))
     # The pieces of a pattern that come before one: where an id holds several, the first counts.
     before = keyed.groupBy("pattern").agg(F.collect_set("_key").alias("_keys"))
