@@ -184,3 +184,28 @@ def test_pieces_of_many_rules_are_made_in_many_tasks(spark, monkeypatch):
     found = matching.match_regex(ids, rules, "id", nested_loop_rules=1)
     assert sorted(tuple(r) for r in found.collect()) == [("abc1", "c1$"), ("abc1", "c1$"), ("abd2", "d2|zz")]
     assert tasks == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
+def test_rows_of_a_long_result_are_made_in_many_tasks_and_move_once(spark, tmp_path):
+    """A result of tables x rules is made last, in as many tasks as a shuffle has; what matched before does not move."""
+    names = spark.range(200).selectExpr("CASE WHEN id % 9 > 0 THEN concat('d', id % 3) END AS table_schema", "CASE WHEN id % 7 > 0 THEN concat('t_', id) END AS table_name")
+    rules = spark.range(4000).selectExpr("concat(CASE id % 3 WHEN 0 THEN '%_' WHEN 1 THEN 't__' ELSE '%' END, id % 10, '%') AS table_pattern", "CAST(id % 2 AS INT) AS latency_threshold")
+    rules = rules.union(spark.createDataFrame([("%", 1)] * 2100 + [("%", None), (None, 2)], "table_pattern string, latency_threshold int"))
+    names.write.parquet(f"{tmp_path}/names")
+    tables = spark.read.parquet(f"{tmp_path}/names")
+    matched = td.match_thresholds(tables, rules, 8)
+    text = matched._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and all("REPARTITION_BY_NUM" in line for line in moved)
+    assert matched.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = td.match_thresholds(tables, rules, 10_000)
+    counts = [{tuple(r)[:4]: r["count"] for r in m.groupBy(m.columns).count().collect()} for m in (matched, plain)]
+    assert counts[0] == counts[1] and counts[0]["d1", "t_1", "%", 1] == 2100
+    assert (None, None, None, None) in counts[0]
+
+
+def test_lists_of_thresholds_stay_short(spark):
+    rules = spark.createDataFrame([("a%", 5)] * 4500 + [("a%", n) for n in range(3000)] + [("b", 1)], "table_pattern string, latency_threshold int")
+    lists = [(r.table_pattern, list(r._hours)) for r in matching._listed(rules).collect()]
+    assert sorted((p, h) for p, hours in lists for h in hours) == sorted(map(tuple, rules.collect()))
+    assert len(lists) > 3 and max(len(hours) for _, hours in lists) <= 5 * matching._MOST_TIMES
