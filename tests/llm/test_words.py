@@ -6,6 +6,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
+from tidemark.llm import spelling
 from tidemark.llm.periods import runs_of, with_periods
 from tidemark.llm.spelling import frequent_grams, gram_pattern, near_words, variants, word_counts
 from tidemark.llm.winnowing import contamination
@@ -56,6 +57,17 @@ def test_variants(spark, tmp_path):
     assert got["lone"] == (None, "lone", 9, 0, None)
 
 
+def test_no_list_and_no_vocabulary_is_broadcast(spark, tmp_path, monkeypatch):
+    """However small Spark takes a side for: lists are many times larger than the words they are made from."""
+    plans, stored = [], spelling.stored
+    plan = lambda frame: plans.append(frame._jdf.queryExecution().executedPlan().toString()) or frame
+    monkeypatch.setattr(spelling, "stored", lambda frame, path: stored(plan(frame), path))
+    rows = [("house", 100), ("houses", 40), ("houuses", 3), ("lone", 9)]
+    got = plan(variants(spark.createDataFrame(rows, "word string, n bigint"), str(tmp_path))).collect()
+    assert {(r.word, r.form, r.root) for r in got} == {("house", None, "house"), ("houses", "house", "house"), ("houuses", "houses", "house"), ("lone", None, "lone")}
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 7 and not any("Broadcast" in p for p in plans)
+
+
 def test_word_counts(spark):
     rows = [(1, "Éclair éclair ECLAIR'S xyzzy"), (None, "éclairĀéclair"), (1, None), (2, "")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n", F.lit(1)).withColumn("word", F.lit("w"))

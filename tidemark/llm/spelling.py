@@ -20,7 +20,8 @@ forms lead.
    may have left. Longer words ask for shorter ones, equally long ones for each other.
 5. *Verification.* What the lists hold is compared by edit distance: the parts left out, then the words.
 
-Words are rows all along; no list and no vocabulary is gathered in one place.
+Words are rows all along; no list and no vocabulary is gathered in one place. Joins are hinted: Spark takes what comes
+out of lists for as small as the words that went in, which are many times fewer, and would broadcast it.
 
 Documents that share an id are counted each, as are rows that repeat; a null id counts as an empty
 text. Null and empty texts have no words. Other columns are ignored. No rows: no result.
@@ -164,6 +165,11 @@ def lists(words: DataFrame, frequent: list[str], most: int, asking: bool) -> Dat
     return words.select("word", "id").mapInArrow(run, "key bigint, id bigint, part string")
 
 
+def _moved(frame: DataFrame) -> DataFrame:
+    """One side of a join that is to be shuffled and sorted, however small Spark takes it for."""
+    return frame.hint("merge")
+
+
 def near_words(words: DataFrame, folder: str, share: float = 0.02, most: int = 3) -> DataFrame:
     """word, near: all pairs of different words (each way round) that are one edit apart.
 
@@ -174,9 +180,9 @@ def near_words(words: DataFrame, folder: str, share: float = 0.02, most: int = 3
     frequent = frequent_grams(words, share, most)
     asked = lists(named, frequent, most, True)
     held = lists(named, frequent, most, False).select("key", F.col("id").alias("other"), F.col("part").alias("its"))
-    met = asked.join(held, "key").where(F.length("part") >= F.length("its")).where(F.levenshtein("part", "its", 1) == 1)
+    met = asked.join(_moved(held), "key").where(F.length("part") >= F.length("its")).where(F.levenshtein("part", "its", 1) == 1)
     found = stored(met.select("id", "other").distinct(), f"{folder}/found")
-    pairs = found.join(named, "id").join(named.select(F.col("id").alias("other"), F.col("word").alias("near")), "other")
+    pairs = found.join(_moved(named), "id").join(_moved(named.select(F.col("id").alias("other"), F.col("word").alias("near"))), "other")
     pairs = stored(pairs.where(F.levenshtein("word", "near", 1) == 1).select("word", "near"), f"{folder}/pairs")
     dropped(words.sparkSession, f"{folder}/found")
     other_way = pairs.where(F.length("word") > F.length("near")).select(F.col("near").alias("word"), F.col("word").alias("near"))
@@ -193,7 +199,7 @@ def roots(forms: DataFrame, folder: str) -> DataFrame:
     while True:
         next_ = now.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
         turn += 1
-        after = now.join(next_, "root", "left")
+        after = now.join(_moved(next_), "root", "left")
         after = stored(after.select("word", F.coalesce("beyond", "root").alias("root"), F.col("beyond").isNotNull().alias("moved")), f"{folder}/{turn}")
         dropped(forms.sparkSession, f"{folder}/{turn - 1}")
         if after.where("moved").isEmpty():
@@ -209,10 +215,10 @@ def variants(words: DataFrame, folder: str, times: int = 2) -> DataFrame:
     """
     words = stored(words, f"{folder}/words")
     near = near_words(words, f"{folder}/near")
-    with_n = near.join(words.select(F.col("word").alias("near"), "n"), "near")
+    with_n = near.join(_moved(words.select(F.col("word").alias("near"), "n")), "near")
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col("near").alias("form"))).alias("best")
     best = with_n.groupBy("word").agg(F.count("*").alias("n_near"), best)
-    known = words.join(best, "word", "left")
+    known = words.join(_moved(best), "word", "left")
     enough = -F.col("best.n") >= times * F.col("n")
     known = known.select(
         "word",
@@ -223,4 +229,4 @@ def variants(words: DataFrame, folder: str, times: int = 2) -> DataFrame:
     )
     known = stored(known, f"{folder}/forms")
     ends = roots(known.where("form is not null").select("word", "form"), f"{folder}/roots")
-    return known.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return known.join(_moved(ends), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
