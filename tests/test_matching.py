@@ -204,6 +204,26 @@ def test_rows_of_a_long_result_are_made_in_many_tasks_and_move_once(spark, tmp_p
     assert (None, None, None, None) in counts[0]
 
 
+def test_matches_stay_where_the_schema_is_never_null(spark, tmp_path):
+    spark.range(700).write.parquet(f"{tmp_path}/raw")
+    tables = spark.read.parquet(f"{tmp_path}/raw").selectExpr("CASE WHEN id % 2 = 0 THEN 'd' ELSE '' END AS table_schema", "concat('t_', id) AS table_name")
+    rules = spark.range(2000).selectExpr("concat(CASE id % 2 WHEN 0 THEN '%_' ELSE 't__' END, id % 50) AS table_pattern", "CAST(id % 3 AS INT) AS latency_threshold")
+    matched = td.match_thresholds(tables, rules, 8)
+    moved = [line for line in matched._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and all("REPARTITION_BY_NUM" in line for line in moved)
+    plain = td.match_thresholds(tables, rules, 10_000)
+    counts = [{tuple(r)[:4]: r["count"] for r in m.groupBy(m.columns).count().collect()} for m in (matched, plain)]
+    assert counts[0] == counts[1] and ("d", "t_698", "%_8", 0) in counts[0] and ("", "t_1", None, None) in counts[0]
+
+
+def test_no_schema_and_an_empty_one_stay_apart(spark):
+    tables = spark.createDataFrame([(None, "a"), ("", "a"), ("=", "a"), (None, "b"), ("", None), (None, None)], "table_schema string, table_name string")
+    rules = spark.createDataFrame([("a", 1), ("%", 2), ("_b", 3)], "table_pattern string, latency_threshold int")
+    got = sorted(map(tuple, td.match_thresholds(tables, rules, 0).collect()), key=str)
+    expected = [(d, "a", *r) for d in (None, "", "=") for r in (("a", 1), ("%", 2))] + [(None, "b", "%", 2), ("", None, None, None), (None, None, None, None)]
+    assert got == sorted(expected, key=str)
+
+
 def test_lists_of_thresholds_stay_short(spark):
     rules = spark.createDataFrame([("a%", 5)] * 4500 + [("a%", n) for n in range(3000)] + [("b", 1)], "table_pattern string, latency_threshold int")
     lists = [(r.table_pattern, list(r._hours)) for r in matching._listed(rules).collect()]
